@@ -148,15 +148,16 @@ def _build_restriction(cat: Catalogue, b: Branch) -> DataFrame:
     """Restriction rows (1:N) compressed to one row per key:
     ``__rows`` = list of (date text, date, country, times) and the row count.
 
-    Level 1 folds identical (key, date, country) rows on the map side;
+    Level 1 folds identical (key, date, country, type) rows on the map side;
     level 2 gathers what is left per key."""
     rows = joined_rows(cat, b)
     key = F.col(col_name(f"{b.alias}.{b.key}"))
     date = F.col(col_name(b.date_ref))
     country = F.col(col_name(b.country_ref))
     rtype = F.col(col_name(b.type_ref))
-    lvl1 = rows.groupBy(key.alias(key_col(b)), date.alias("o"), country.alias("v")).agg(
-        F.count(F.lit(1)).alias("n"), F.min(rtype).alias("t"))
+    # all grouping, fixed-width buffer: a hash aggregate, no sort
+    lvl1 = rows.groupBy(key.alias(key_col(b)), date.alias("o"), country.alias("v"),
+                        rtype.alias("t")).agg(F.count(F.lit(1)).alias("n"))
     return lvl1.groupBy(key_col(b)).agg(
         F.sum("n").alias(n_col(b)),
         F.min("t").alias(type_col(b)),
