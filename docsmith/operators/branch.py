@@ -76,20 +76,42 @@ def _table(cat: Catalogue, table: str, alias: str, where: tuple, cols: list[str]
     return df.select([F.col(c).alias(f"{alias}__{c}") for c in cols])
 
 
-def joined_rows(cat: Catalogue, b: Branch) -> DataFrame:
+def joined_rows(cat: Catalogue, b: Branch, fold: bool = False) -> DataFrame:
     """The branch's rows before aggregation: the branch table (filtered on
-    its constants) joined with its dimensions, one row per joined row."""
+    its constants) joined with its dimensions, one row per joined row.
+
+    With ``fold``, joins marked ``fold`` meet a right side already reduced to
+    one row per key: its columns become value sets and ``__w`` carries the
+    number of rows each joined row stands for."""
     need = _needed(b)
     df = _table(cat, b.table, b.alias, b.where, need[b.alias])
     df = df.where(F.col(col_name(f"{b.alias}.{b.key}")).isNotNull())
+    weight = F.lit(1).cast("long")
+    folded: set = set()
     for j in b.joins:
         right = _table(cat, j.table, j.alias, j.where, need.get(j.alias, []))
+        for left, _ in j.on:
+            if left.split(".", 1)[0] in folded:
+                raise ValueError(f"branch {b.name!r}: cannot join on folded table {left!r}")
         cond = reduce(lambda a, c: a & c,
                       [F.col(col_name(left)) == F.col(f"{j.alias}__{r}") for left, r in j.on])
+        if fold and j.fold:
+            keys = [f"{j.alias}__{r}" for _, r in j.on]
+            vals = [c for c in right.columns if c not in keys]
+            right = right.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"__jn_{j.alias}"),
+                                             *[F.collect_set(c).alias(c) for c in vals])
+            weight = weight * F.coalesce(F.col(f"__jn_{j.alias}"), F.lit(1).cast("long"))
+            folded.add(j.alias)
         df = df.join(right, cond, j.how)
+    if fold:
+        df = df.withColumn("__w", weight)
     return df
 
 
+def folded_aliases(b: Branch) -> set:
+    return {j.alias for j in b.joins if j.fold}
+
+
 def _out_agg(o, fold_case: bool) -> Column:
     c = F.col(col_name(o.ref))
     if o.agg == "distinct":
@@ -135,6 +157,8 @@ def build_branch(cat: Catalogue, b: Branch, case_insensitive: bool = False) -> D
         return pairs.groupBy(key_col(b)).agg(
             F.sum("__c").alias(n_col(b)),
             F.count("__v").alias(flat_name(o.label)))
+    if folded_aliases(b):
+        return _build_folded(cat, b, case_insensitive)
     # Only text values are folded case-insensitively.
     types = dict(rows.dtypes)
     fold = {o.label: case_insensitive and types.get(col_name(o.ref)) == "string" for o in b.outs}
@@ -144,6 +168,42 @@ def build_branch(cat: Catalogue, b: Branch, case_insensitive: bool = False) -> D
     return agg.select(key_col(b), n_col(b), *[_out_finish(o, fold[o.label]) for o in b.outs])
 
 
+def _build_folded(cat: Catalogue, b: Branch, case_insensitive: bool) -> DataFrame:
+    """Branch whose chain contains a folded (0..n per key) table.
+
+    Values of folded tables arrive as sets; per key they are gathered as a
+    set of sets (identical sets collapse on the map side), flattened and
+    de-duplicated at the end.  The row count is the sum of the weights, i.e.
+    what the unfolded join would have produced."""
+    rows = joined_rows(cat, b, fold=True)
+    folded = folded_aliases(b)
+    types = dict(rows.dtypes)
+    k = F.col(col_name(f"{b.alias}.{b.key}")).alias(key_col(b))
+    aggs = [F.sum("__w").alias(n_col(b))]
+    finish = []
+    for o in b.outs:
+        name = flat_name(o.label)
+        if o.ref.split(".", 1)[0] in folded:
+            if o.agg not in ("distinct", "distinct_text"):
+                raise ValueError(f"{o.label}: only distinct lists can come from a folded table")
+            aggs.append(F.collect_set(F.col(col_name(o.ref))).alias(name))
+            merged = F.array_distinct(F.flatten(F.col(name)))
+            if o.agg == "distinct_text":
+                finish.append(null_if_empty(F.transform(F.array_sort(merged), lambda x: x.cast("string")))
+                              .alias(name))
+            else:
+                ci = case_insensitive and types.get(col_name(o.ref)) == "array<string>"
+                if ci:
+                    merged = F.transform(merged, lambda x: F.struct(F.lower(x).alias("k"), x.alias("v")))
+                finish.append(finish_distinct(merged, ci).alias(name))
+        else:
+            ci = case_insensitive and types.get(col_name(o.ref)) == "string"
+            aggs.append(_out_agg(o, ci))
+            finish.append(_out_finish(o, ci))
+    agg = rows.groupBy(k).agg(*aggs)
+    return agg.select(key_col(b), n_col(b), *finish)
+
+
 def _build_restriction(cat: Catalogue, b: Branch) -> DataFrame:
     """Restriction rows (1:N) compressed to one row per key:
     ``__rows`` = list of (date text, date, country, times) and the row count.

@@ -23,6 +23,10 @@ class Join:
     on: tuple            # ((left "alias.col", right col), ...)
     where: tuple = ()    # ((right col, constant), ...) applied to the right side
     how: str = "left"
+    # fold=True: the right side has 0..n rows per join key.  It is first
+    # aggregated to one row per key (value sets + row count), so the join
+    # never multiplies rows; the count re-enters only as a weight.
+    fold: bool = False
 
 
 @dataclass(frozen=True)

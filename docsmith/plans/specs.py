@@ -32,9 +32,10 @@ def content_filters(p: Params, kind: str, site_ids_as_text: bool) -> Branch:
         joins=(
             Join("content_filters", "cf", (("cfm.filter_id", "id"),)),
             # chained on the filter actually found: a dangling filter id has no
-            # site exclusions
+            # site exclusions.  Folded per filter, so the (filter rows x sites)
+            # product is never materialised.
             Join("site_content_filter_exclusions", "scfe", (("cf.id", "content_filter_id"),),
-                 where=(("media_type_id", p.media_id(kind)),)),
+                 where=(("media_type_id", p.media_id(kind)),), fold=True),
         ),
         outs=(Out("content_segments[]", "cf.name"),
               Out("site_exclusion_id[]", "scfe.site_id",

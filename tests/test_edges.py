@@ -1,0 +1,175 @@
+"""Hand-built edge cases (a few rows each)."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.errors import PySparkException
+from py4j.protocol import Py4JJavaError
+
+from docsmith.params import Options
+from docsmith.plans import documents, shape
+from docsmith.sources import ranges
+
+D1, D2, D3 = datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 1, 3)
+
+
+def flat(cat, doc, **kw):
+    return {r["_id"]: r for r in documents.build(cat, doc, **kw).df.collect()}
+
+
+def test_empty_root(spark, make_cat):
+    cat = make_cat()
+    assert ranges.segment_count(ranges.probe_max_id(cat["book"]), 1000) == 0
+    assert ranges.segments_frame(spark, cat["book"], 1000).count() == 0
+    assert documents.build(cat, "book").df.count() == 0
+
+
+def test_negative_and_boundary_ids(spark, make_cat):
+    cat = make_cat(book=[(-1, "neg", 1), (0, "zero", 1), (999, "a", 1), (1000, "b", 1), (2000, "c", 1)])
+    segs = {r["segment"]: r["n_rows"] for r in ranges.segments_frame(spark, cat["book"], 1000).collect()}
+    assert segs == {0: 2, 1: 1, 2: 1}
+    seen = []
+    for lo, hi in ranges.segment_bounds(ranges.probe_max_id(cat["book"]), 1000):
+        seen += [r["id"] for r in ranges.range_filter(cat["book"], lo, hi).collect()]
+    assert sorted(seen) == [0, 999, 1000, 2000]  # -1 never read, each id once
+    tagged = {r["id"]: r["segment"] for r in ranges.with_segment(cat["book"], 1000).collect()}
+    assert tagged == {0: 0, 999: 0, 1000: 1, 2000: 2}
+
+
+def test_no_children(make_cat):
+    cat = make_cat(book=[(1, "t", 99)], music_album=[(5, "alb", None, None, None)],
+                   game=[(7, "g", None, None)])
+    b = flat(cat, "book")["1-1"]
+    for c in ("people_author", "people_artist", "genre", "content_segments", "site_exclusion_id",
+              "languages", "restrict_country_code", "restrict_date", "licensor_status"):
+        assert b[c] is None, c
+    assert flat(cat, "album")["2-5"]["song_count"] == 0
+    assert flat(cat, "game")["4-7"]["is_yummy"] == 0
+
+
+def test_dangling_dimension_counts_in_fanout(make_cat):
+    # author 42 does not exist: no name, but the row still multiplies dates
+    cat = make_cat(book=[(1, "t", 1)], book_authors=[(1, 42), (1, 43)], author=[(43, "Ann")],
+                   media_geo_restrict=[(1, 1, "active", "click", "US", D1)])
+    b = flat(cat, "book", keep_rows=True)["1-1"]
+    assert b["people_author"] == ["Ann"]
+    assert b["restrict_date"] == ["2024-01-01 00:00:00"] * 2
+    assert b["__joined_rows"] == 2
+
+
+def test_fanout_exact_and_clean(make_cat):
+    cat = make_cat(book=[(1, "t", 1)], book_authors=[(1, 10), (1, 11)], author=[(10, "A"), (11, "B")],
+                   book_genres=[(1, 20), (1, 21), (1, 22)],
+                   genre_book=[(20, "x"), (21, "y"), (22, "z")],
+                   media_geo_restrict=[(1, 1, "active", "click", "US", D1)])
+    exact = flat(cat, "book")["1-1"]["restrict_date"]
+    clean = flat(cat, "book", options=Options(dates="clean"))["1-1"]["restrict_date"]
+    assert exact == ["2024-01-01 00:00:00"] * 6
+    assert clean == ["2024-01-01 00:00:00"]
+
+
+def test_inactive_and_other_type_restrictions_ignored(make_cat):
+    cat = make_cat(book=[(1, "t", 1)],
+                   media_geo_restrict=[(1, 1, "inactive", "error", "US", D1),
+                                       (1, 3, "active", "click", "GB", D2),
+                                       (1, 1, "active", "view", "CA", D3)])
+    b = flat(cat, "book")["1-1"]
+    assert b["restrict_country_code"] == ["CA"] and b["restrict_type"] == "view"
+
+
+def test_ordered_distinct(make_cat):
+    cat = make_cat(book=[(1, "t", 1)],
+                   media_geo_restrict=[(1, 1, "active", "a", "CA", D3), (1, 1, "active", "a", "US", D2),
+                                       (1, 1, "active", "a", "CA", D1)])
+    assert flat(cat, "book")["1-1"]["restrict_country_code"] == ["CA", "US"]
+
+
+def test_duplicate_score_is_an_error(make_cat):
+    cat = make_cat(book=[(1, "t", 1)], scores=[(1, 1, 5.0), (1, 1, 6.0)])
+    with pytest.raises((Py4JJavaError, PySparkException)) as e:
+        documents.build(cat, "book").df.collect()
+    assert "more than one score row" in str(e.value)
+
+
+def test_score_pivot_values(make_cat):
+    cat = make_cat(book=[(1, "t", 1)], scores=[(1, 1, 5.0), (1, 5, 6.0), (1, 9, 7.0)])
+    b = flat(cat, "book")["1-1"]
+    assert (b["sorting_score_pc"], b["sorting_score_mobile"], b["sorting_score_console"]) == (5.0, None, 6.0)
+
+
+def test_song_duplicate_by_scores_legacy_and_key_check(spark, make_cat, tmp_path):
+    from docsmith.job import DuplicateDocumentKey, rebuild
+    cat = make_cat(music_album=[(7, "alb", 1, 1, 1)], music=[(9, 7, "song")],
+                   scores=[(7, 1, 1.0), (7, 1, 2.0)])
+    assert documents.build(cat, "song").df.count() == 1
+    legacy = documents.build(cat, "song", options=Options(legacy_rows=True)).df
+    assert legacy.count() == 2
+    with pytest.raises(DuplicateDocumentKey):
+        rebuild(spark, cat, ["song"], str(tmp_path), options=Options(legacy_rows=True))
+
+
+def test_comma_in_name_is_one_element(make_cat):
+    cat = make_cat(book=[(1, "t", 1)], book_authors=[(1, 10)], author=[(10, "Simon, Paul")])
+    assert flat(cat, "book")["1-1"]["people_author"] == ["Simon, Paul"]
+
+
+def test_case_variants(make_cat):
+    cat = make_cat(book=[(1, "t", 1)], book_genres=[(1, 1), (1, 2), (1, 3)],
+                   genre_book=[(1, "Rock"), (2, "rock"), (3, "Pop")])
+    assert flat(cat, "book")["1-1"]["genre"] == ["Pop", "Rock", "rock"]
+    ci = flat(cat, "book", options=Options(case_insensitive=True))["1-1"]["genre"]
+    assert ci == ["Pop", "Rock"]
+
+
+def test_song_key_parts(make_cat):
+    cat = make_cat(music_album=[(7, "alb", 1, 1, 1)], music=[(9, 7, "song")])
+    rows = documents.build(cat, "song").df.collect()
+    assert [r["_id"] for r in rows] == ["2-7-9"]
+    assert rows[0]["id"] == 9 and rows[0]["media_id"] == 7 and rows[0]["album_title"] == "alb"
+
+
+def test_song_without_album_vanishes(make_cat):
+    cat = make_cat(music_album=[(7, "alb", 1, 1, 1)], music=[(9, 7, "s"), (10, 8, "orphan")])
+    assert [r["id"] for r in documents.build(cat, "song").df.collect()] == [9]
+
+
+def test_song_match_album_or_song_id(make_cat):
+    cat = make_cat(music_album=[(7, "alb", 1, 1, 1)], music=[(9, 7, "s")],
+                   music_song_artists=[(7, 1), (9, 2)], music_artist=[(1, "by-album"), (2, "by-song")])
+    assert flat(cat, "song")["2-7-9"]["people_artist"] == ["by-album"]
+    by_id = flat(cat, "song", options=Options(song_match="id"))["2-7-9"]["people_artist"]
+    assert by_id == ["by-song"]
+
+
+def test_song_labels(make_cat):
+    cat = make_cat(music_album=[(7, "alb", 1, 1, 1)], music=[(9, 7, "s")], music_files=[(9, "CA"), (9, "CA")])
+    d = documents.build(cat, "song")
+    assert "restrict.song.country_code[]" in d.labels
+    assert d.df.first()["restrict_song_country_code"] == ["CA"]
+    legacy = documents.build(cat, "song", options=Options(legacy_labels=True))
+    assert "restrict.song.contry_code[]" in legacy.labels
+
+
+def test_album_legacy_licensor(make_cat):
+    cat = make_cat(music_album=[(5, "alb", None, 3, None)],
+                   licensors=[("music", 3, "active", 1)])
+    assert flat(cat, "album")["2-5"]["licensor_status"] == "active"
+    assert flat(cat, "album", options=Options(legacy_licensor=True))["2-5"]["licensor_status"] is None
+
+
+def test_chain_counts_every_site(make_cat):
+    # one filter row, its filter excluded on 3 sites for this type: x3 rows
+    cat = make_cat(movie=[(1, "m", 1)], content_filters_medias=[(1, "movie", 2)],
+                   content_filters=[(2, "F")],
+                   site_content_filter_exclusions=[(2, 3, 100), (2, 3, 101), (2, 3, 102), (2, 1, 103)],
+                   media_geo_restrict=[(1, 3, "active", "x", "US", D1)])
+    m = flat(cat, "movie", keep_rows=True)["3-1"]
+    assert m["site_exclusion_id"] == [100, 101, 102]
+    assert m["__joined_rows"] == 3 and len(m["restrict_date"]) == 3
+
+
+def test_nested_shape(make_cat):
+    cat = make_cat(book=[(1, "t", 1)], book_authors=[(1, 10)], author=[(10, "A")])
+    n = shape.nested(documents.build(cat, "book")).first()
+    assert n["people"]["author"] == ["A"] and n["restrict"]["type"] is None
+    assert set(n["sorting_score"].asDict()) == {"pc", "mobile", "tablet", "mac", "console"}
