@@ -69,34 +69,83 @@ def _needed(b: Branch) -> dict[str, list[str]]:
     return need
 
 
-def _table(cat: Catalogue, table: str, alias: str, where: tuple, cols: list[str]) -> DataFrame:
+KIND = "__kind"
+
+
+class Kinds:
+    """Media-type ids and names, for branches built once for several types.
+
+    In shared mode the media-type constants of a branch are dropped; each
+    row carries its type id in ``__kind`` instead, which joins on the other
+    tables' media-type columns and becomes part of the group key."""
+
+    def __init__(self, params, kinds):
+        self.ids = {k: params.media_id(k) for k in kinds}
+        self.names = {k: params.media_name(k) for k in kinds}
+
+    def to_id(self, col: Column, form: str) -> Column:
+        if form == "id":
+            return F.when(col.cast("int").isin(list(self.ids.values())), col.cast("int"))
+        pairs = [x for k in self.ids for x in (F.lit(self.names[k]), F.lit(self.ids[k]))]
+        return F.create_map(*pairs)[col]
+
+    def from_id(self, kind: Column, form: str) -> Column:
+        if form == "id":
+            return kind
+        pairs = [x for k in self.ids for x in (F.lit(self.ids[k]), F.lit(self.names[k]))]
+        return F.create_map(*pairs)[kind]
+
+
+def _table(cat: Catalogue, table: str, alias: str, where: tuple, cols: list[str],
+           skip: set = frozenset()) -> DataFrame:
     df = cat[table]
     for c, v in where:
-        df = df.where(F.col(c) == F.lit(v))
+        if c not in skip:
+            df = df.where(F.col(c) == F.lit(v))
     return df.select([F.col(c).alias(f"{alias}__{c}") for c in cols])
 
 
-def joined_rows(cat: Catalogue, b: Branch, fold: bool = False) -> DataFrame:
+def joined_rows(cat: Catalogue, b: Branch, fold: bool = False, kinds: Kinds | None = None) -> DataFrame:
     """The branch's rows before aggregation: the branch table (filtered on
     its constants) joined with its dimensions, one row per joined row.
 
     With ``fold``, joins marked ``fold`` meet a right side already reduced to
     one row per key: its columns become value sets and ``__w`` carries the
-    number of rows each joined row stands for."""
+    number of rows each joined row stands for.
+
+    With ``kinds``, the media-type constants are replaced by a ``__kind``
+    column (see ``Kinds``)."""
     need = _needed(b)
-    df = _table(cat, b.table, b.alias, b.where, need[b.alias])
+    if kinds is not None:
+        if not b.kind_cols:
+            raise ValueError(f"branch {b.name!r} has no media-type column to share on")
+        for alias, kc in [(b.alias, b.kind_cols)] + [(j.alias, j.kind_cols) for j in b.joins]:
+            for c, _ in kc:
+                need.setdefault(alias, [])
+                if c not in need[alias]:
+                    need[alias].append(c)
+    skip = {c for c, _ in b.kind_cols} if kinds is not None else set()
+    df = _table(cat, b.table, b.alias, b.where, need[b.alias], skip)
     df = df.where(F.col(col_name(f"{b.alias}.{b.key}")).isNotNull())
+    if kinds is not None:
+        c, form = b.kind_cols[0]
+        df = df.withColumn(KIND, kinds.to_id(F.col(f"{b.alias}__{c}"), form)).where(
+            F.col(KIND).isNotNull())
     weight = F.lit(1).cast("long")
     folded: set = set()
     for j in b.joins:
-        right = _table(cat, j.table, j.alias, j.where, need.get(j.alias, []))
+        jskip = {c for c, _ in j.kind_cols} if kinds is not None else set()
+        right = _table(cat, j.table, j.alias, j.where, need.get(j.alias, []), jskip)
         for left, _ in j.on:
             if left.split(".", 1)[0] in folded:
                 raise ValueError(f"branch {b.name!r}: cannot join on folded table {left!r}")
-        cond = reduce(lambda a, c: a & c,
-                      [F.col(col_name(left)) == F.col(f"{j.alias}__{r}") for left, r in j.on])
+        conds = [F.col(col_name(left)) == F.col(f"{j.alias}__{r}") for left, r in j.on]
+        if kinds is not None:
+            conds += [F.col(f"{j.alias}__{c}") == kinds.from_id(F.col(KIND), form)
+                      for c, form in j.kind_cols]
+        cond = reduce(lambda a, c: a & c, conds)
         if fold and j.fold:
-            keys = [f"{j.alias}__{r}" for _, r in j.on]
+            keys = [f"{j.alias}__{r}" for _, r in j.on] + [f"{j.alias}__{c}" for c in jskip]
             vals = [c for c in right.columns if c not in keys]
             right = right.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"__jn_{j.alias}"),
                                              *[F.collect_set(c).alias(c) for c in vals])
@@ -139,43 +188,49 @@ def _out_finish(o, fold_case: bool) -> Column:
     return c.alias(name)
 
 
-def build_branch(cat: Catalogue, b: Branch, case_insensitive: bool = False) -> DataFrame:
+def build_branch(cat: Catalogue, b: Branch, case_insensitive: bool = False,
+                 kinds: Kinds | None = None) -> DataFrame:
+    """One row per key (per (``__kind``, key) with ``kinds``)."""
     if b.kind == "restriction":
-        return _build_restriction(cat, b)
+        return _build_restriction(cat, b, kinds)
     if b.kind == "scores":
         from .lookup import score_pivot
         return score_pivot(cat, b)
-    rows = joined_rows(cat, b)
+    extra = [KIND] if kinds is not None else []
     k = F.col(col_name(f"{b.alias}.{b.key}")).alias(key_col(b))
     only_count_distinct = len(b.outs) == 1 and b.outs[0].agg == "count_distinct"
     if only_count_distinct:
         # Two-level form of COUNT(DISTINCT): (key, value) pairs first, so a hot
         # key never holds its distinct values in one in-memory set.
+        rows = joined_rows(cat, b, kinds=kinds)
         o = b.outs[0]
         v = F.col(col_name(o.ref))
-        pairs = rows.groupBy(k, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
-        return pairs.groupBy(key_col(b)).agg(
+        pairs = rows.groupBy(*extra, k, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+        return pairs.groupBy(*extra, key_col(b)).agg(
             F.sum("__c").alias(n_col(b)),
             F.count("__v").alias(flat_name(o.label)))
     if folded_aliases(b):
-        return _build_folded(cat, b, case_insensitive)
+        return _build_folded(cat, b, case_insensitive, kinds)
+    rows = joined_rows(cat, b, kinds=kinds)
     # Only text values are folded case-insensitively.
     types = dict(rows.dtypes)
     fold = {o.label: case_insensitive and types.get(col_name(o.ref)) == "string" for o in b.outs}
     aggs = [F.count(F.lit(1)).alias(n_col(b))]
     aggs += [_out_agg(o, fold[o.label]) for o in b.outs]
-    agg = rows.groupBy(k).agg(*aggs)
-    return agg.select(key_col(b), n_col(b), *[_out_finish(o, fold[o.label]) for o in b.outs])
+    agg = rows.groupBy(*extra, k).agg(*aggs)
+    return agg.select(*extra, key_col(b), n_col(b), *[_out_finish(o, fold[o.label]) for o in b.outs])
 
 
-def _build_folded(cat: Catalogue, b: Branch, case_insensitive: bool) -> DataFrame:
+def _build_folded(cat: Catalogue, b: Branch, case_insensitive: bool,
+                  kinds: Kinds | None = None) -> DataFrame:
     """Branch whose chain contains a folded (0..n per key) table.
 
     Values of folded tables arrive as sets; per key they are gathered as a
     set of sets (identical sets collapse on the map side), flattened and
     de-duplicated at the end.  The row count is the sum of the weights, i.e.
     what the unfolded join would have produced."""
-    rows = joined_rows(cat, b, fold=True)
+    rows = joined_rows(cat, b, fold=True, kinds=kinds)
+    extra = [KIND] if kinds is not None else []
     folded = folded_aliases(b)
     types = dict(rows.dtypes)
     k = F.col(col_name(f"{b.alias}.{b.key}")).alias(key_col(b))
@@ -200,25 +255,26 @@ def _build_folded(cat: Catalogue, b: Branch, case_insensitive: bool) -> DataFram
             ci = case_insensitive and types.get(col_name(o.ref)) == "string"
             aggs.append(_out_agg(o, ci))
             finish.append(_out_finish(o, ci))
-    agg = rows.groupBy(k).agg(*aggs)
-    return agg.select(key_col(b), n_col(b), *finish)
+    agg = rows.groupBy(*extra, k).agg(*aggs)
+    return agg.select(*extra, key_col(b), n_col(b), *finish)
 
 
-def _build_restriction(cat: Catalogue, b: Branch) -> DataFrame:
+def _build_restriction(cat: Catalogue, b: Branch, kinds: Kinds | None = None) -> DataFrame:
     """Restriction rows (1:N) compressed to one row per key:
     ``__rows`` = list of (date text, date, country, times) and the row count.
 
     Level 1 folds identical (key, date, country, type) rows on the map side;
     level 2 gathers what is left per key."""
-    rows = joined_rows(cat, b)
+    rows = joined_rows(cat, b, kinds=kinds)
+    extra = [KIND] if kinds is not None else []
     key = F.col(col_name(f"{b.alias}.{b.key}"))
     date = F.col(col_name(b.date_ref))
     country = F.col(col_name(b.country_ref))
     rtype = F.col(col_name(b.type_ref))
     # all grouping, fixed-width buffer: a hash aggregate, no sort
-    lvl1 = rows.groupBy(key.alias(key_col(b)), date.alias("o"), country.alias("v"),
+    lvl1 = rows.groupBy(*extra, key.alias(key_col(b)), date.alias("o"), country.alias("v"),
                         rtype.alias("t")).agg(F.count(F.lit(1)).alias("n"))
-    return lvl1.groupBy(key_col(b)).agg(
+    return lvl1.groupBy(*extra, key_col(b)).agg(
         F.sum("n").alias(n_col(b)),
         F.min("t").alias(type_col(b)),
         F.collect_list(F.struct(F.col("o").cast("string").alias("d"), F.col("o"), F.col("v"),

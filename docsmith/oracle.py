@@ -272,6 +272,9 @@ def sql() -> dict[str, str]:
     q["doc_game"] = DOC_GAME
     q["doc_software"] = DOC_SOFTWARE
     q["doc_song"] = DOC_SONG
+    q["shared_doc_book"] = DOC_BOOK
+    q["shared_doc_game"] = DOC_GAME
+    q["shared_doc_song"] = DOC_SONG
     q["rebuild_all"] = W + "\n" + " UNION ALL ".join([
         "SELECT 'book' AS doc, count(*) AS n_docs FROM book",
         "SELECT 'movie' AS doc, count(*) AS n_docs FROM movie",

@@ -27,6 +27,9 @@ class Join:
     # aggregated to one row per key (value sets + row count), so the join
     # never multiplies rows; the count re-enters only as a weight.
     fold: bool = False
+    # ((col, "id" | "name"), ...): right-side columns holding the media type;
+    # their constants in ``where`` belong to one type (see ``Branch.kind_cols``)
+    kind_cols: tuple = ()
 
 
 @dataclass(frozen=True)
@@ -66,6 +69,10 @@ class Branch:
     value_ref: str | None = None
     device_ref: str | None = None
     label_prefix: str = "sorting_score"
+    # ((col, "id" | "name"), ...): branch-table columns holding the media type.
+    # A branch with kind columns can be built once for all types, keyed by
+    # (type, key), and shared by the documents of every type.
+    kind_cols: tuple = ()
 
 
 @dataclass(frozen=True)

@@ -22,7 +22,8 @@ def restriction(p: Params, kind: str, key: str = "media_id", root_ref: str = "id
         name="restrict", table=p.geo_restrict_table, alias="mgr", key=key, root_ref=root_ref,
         where=(("status", "active"), ("media_type", p.media_id(kind))),
         kind="restriction", type_ref="mgr.restrict_type", country_ref="mgr.country_code",
-        date_ref="mgr.date_start", fanout=fanout, dates_mode=dates_mode)
+        date_ref="mgr.date_start", fanout=fanout, dates_mode=dates_mode,
+        kind_cols=(("media_type", "id"),))
 
 
 def content_filters(p: Params, kind: str, site_ids_as_text: bool) -> Branch:
@@ -35,8 +36,10 @@ def content_filters(p: Params, kind: str, site_ids_as_text: bool) -> Branch:
             # site exclusions.  Folded per filter, so the (filter rows x sites)
             # product is never materialised.
             Join("site_content_filter_exclusions", "scfe", (("cf.id", "content_filter_id"),),
-                 where=(("media_type_id", p.media_id(kind)),), fold=True),
+                 where=(("media_type_id", p.media_id(kind)),), fold=True,
+                 kind_cols=(("media_type_id", "id"),)),
         ),
+        kind_cols=(("media_type", "name"),),
         outs=(Out("content_segments[]", "cf.name"),
               Out("site_exclusion_id[]", "scfe.site_id",
                   "distinct_text" if site_ids_as_text else "distinct")))
@@ -47,7 +50,8 @@ def languages(p: Params, kind: str) -> Branch:
         name="languages", table="media_language", alias="ml", key="media_id",
         where=(("media_type", p.media_name(kind)),),
         joins=(Join("ma_language", "mal", (("ml.language_id", "id"),)),),
-        outs=(Out("languages[]", "mal.name"),))
+        outs=(Out("languages[]", "mal.name"),),
+        kind_cols=(("media_type", "name"),))
 
 
 def licensor(p: Params, media_name: str) -> Branch:

@@ -204,6 +204,21 @@ def q_fanout(spark, sf_dir):
     return _by_id(d, [F.col(ROWS).alias("n_rows")])
 
 
+def _shared_doc(doc: str):
+    """A document built from branches staged once for all six types (the
+    multi-type rebuild path); must equal the document built alone."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from .job import staging_root
+        from .plans.shared import prebuilt_for, stage_shared
+        cat = _cat(spark, sf_dir)
+        specs = [spec_for(d, P) for d in REBUILD_ORDER]
+        staged = stage_shared(spark, cat, specs, staging_root(spark, "shared"), P)
+        spec = spec_for(doc, P)
+        d = assemble(cat, spec, prebuilt=prebuilt_for(spark, staged, spec, P))
+        return shape.comparable(d.df)
+    return q
+
+
 def q_doc_book_nested(spark, sf_dir):
     from .plans import documents
     return shape.as_json(documents.build(_cat(spark, sf_dir), "book"))
@@ -260,6 +275,9 @@ QUERIES = {
     "doc_game": _doc("game"),
     "doc_software": _doc("software"),
     "doc_song": _doc("song"),
+    "shared_doc_book": _shared_doc("book"),
+    "shared_doc_game": _shared_doc("game"),
+    "shared_doc_song": _shared_doc("song"),
     "doc_book_nested": q_doc_book_nested,
     "conformance": q_conformance,
     "rebuild_all": q_rebuild_all,
