@@ -1,0 +1,3 @@
+"""docsmith: nested search documents from a normalised media catalogue, on Spark."""
+
+from .params import Options, Params  # noqa: F401

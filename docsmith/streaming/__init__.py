@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The original job is a batch full rebuild: no watermarks, windows, state or
+late data appear in it, so nothing here is needed.  A rebuild is one batch
+job per document type (``docsmith.job``).
+"""
