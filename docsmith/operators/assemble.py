@@ -42,6 +42,16 @@ class Document:
     root_columns: list     # the pass-through root columns
 
 
+def key_bounds(root: DataFrame, key: str = "id") -> tuple:
+    """``[max(0, min id), max id + 1)`` of the root - the ids a full rebuild
+    reads (negative ids are never read, as in the original's segment loop).
+    Two scalars pass through the driver; an empty root gives an empty range."""
+    r = root.where(F.col(key) >= 0).agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
+    if r["lo"] is None:
+        return (0, 0)
+    return (int(r["lo"]), int(r["hi"]) + 1)
+
+
 def _product(cols: list[Column]) -> Column:
     return reduce(lambda a, b: a * b, cols, F.lit(1).cast("long"))
 
@@ -57,8 +67,9 @@ def assemble(cat: Catalogue, spec: DocSpec, options: Options | None = None,
     prebuilt = prebuilt or {}
     root = cat[spec.root]
     root_cols = list(root.columns)
-    if id_range is not None:
-        root = root.where(in_range("id", *id_range))
+    if id_range is None:
+        id_range = key_bounds(root) if o.key_bounds else (0, None)
+    root = root.where(in_range("id", *id_range))
     for rj in spec.root_joins:
         right = cat[rj.table].select([F.col(src).alias(f"__rj_{rj.alias}_{src}")
                                       for src in {c for _, c in rj.on} | {s for s, _ in rj.select}])

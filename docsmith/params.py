@@ -80,6 +80,10 @@ class Options:
     legacy_licensor: bool = False
     # Case-insensitive distinct lists (MySQL's usual collation).
     case_insensitive: bool = False
+    # Probe the root's smallest and largest id (one small aggregate) and use
+    # them as a key range: Catalyst pushes it into every scan keyed by the
+    # item, so relation rows of ids outside the root are never aggregated.
+    key_bounds: bool = True
 
     def __post_init__(self):
         if self.dates not in ("exact", "clean"):

@@ -37,9 +37,11 @@ def segment_bounds(max_key, size: int) -> list[tuple[int, int]]:
     return [(k * size, (k + 1) * size) for k in range(segment_count(max_key, size))]
 
 
-def in_range(col: Column | str, lower: int, upper: int) -> Column:
+def in_range(col: Column | str, lower: int, upper: int | None) -> Column:
+    """``lower <= col < upper``; no upper bound when ``upper`` is None."""
     c = F.col(col) if isinstance(col, str) else col
-    return (c >= F.lit(lower)) & (c < F.lit(upper))
+    cond = c >= F.lit(lower)
+    return cond if upper is None else cond & (c < F.lit(upper))
 
 
 def range_filter(df: DataFrame, lower: int, upper: int, key: str = "id") -> DataFrame:

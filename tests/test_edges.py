@@ -36,6 +36,14 @@ def test_negative_and_boundary_ids(spark, make_cat):
     assert tagged == {0: 0, 999: 0, 1000: 1, 2000: 2}
 
 
+def test_full_build_never_reads_negative_ids(make_cat):
+    cat = make_cat(book=[(-5, "neg", 1), (3, "pos", 1)], book_authors=[(-5, 10), (3, 10)],
+                   author=[(10, "A")])
+    assert sorted(flat(cat, "book")) == ["1-3"]
+    unbounded = flat(cat, "book", options=Options(key_bounds=False))
+    assert sorted(unbounded) == ["1-3"]
+
+
 def test_no_children(make_cat):
     cat = make_cat(book=[(1, "t", 99)], music_album=[(5, "alb", None, None, None)],
                    game=[(7, "g", None, None)])
