@@ -22,6 +22,9 @@ SCALE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+    # small shuffles are not squeezed into one or two tasks; large ones are
+    # still cut at the advisory size
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(64 * 1024),
     "spark.sql.autoBroadcastJoinThreshold": BROADCAST_THRESHOLD,
     "spark.sql.adaptive.autoBroadcastJoinThreshold": BROADCAST_THRESHOLD,
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
