@@ -90,3 +90,9 @@ class Catalogue:
             return lambda: spark.read.jdbc(url, n, properties=props)
 
         return cls(spark, {n: loader(n) for n in names})
+
+
+def from_catalog(spark: SparkSession, database: str, names) -> Catalogue:
+    """Catalogue tables registered in the session catalog (e.g. bucketed
+    tables written by ``layout.bucket_catalogue``)."""
+    return Catalogue(spark, {n: (lambda n=n: spark.table(f"{database}.{n}")) for n in names})

@@ -41,3 +41,25 @@ def test_hot_key(make_cat):
     assert hot["people_author"] == [f"A{i:02d}" for i in range(50)]
     assert hot["__joined_rows"] == n * 2
     assert df.count() == 2 * n + 1
+
+
+def test_bucketed_catalogue_removes_shuffles(spark, tmp_path):
+    import re
+    from conftest import SF0001
+    from docsmith.plans import shape
+    from docsmith.sources.layout import bucket_catalogue, item_keys
+    keys = item_keys()
+    assert keys["book"] == "id" and keys["book_authors"] == "book_id" and keys["music"] == "album_id"
+    cat = Catalogue.from_adapter(spark, SF0001)
+    bcat = bucket_catalogue(spark, cat, "docsmith_test_bucketed", str(tmp_path), 4)
+
+    def exchanges(c):
+        df = documents.build(c, "movie").df
+        df.write.format("noop").mode("overwrite").save()  # final (adaptive) plan
+        return len(re.findall(r"Exchange hashpartitioning",
+                              df._jdf.queryExecution().executedPlan().toString()))
+
+    assert exchanges(bcat) < exchanges(cat) // 2
+    a = shape.comparable(documents.build(cat, "movie").df)
+    b = shape.comparable(documents.build(bcat, "movie").df)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
