@@ -272,6 +272,9 @@ def sql() -> dict[str, str]:
     q["doc_game"] = DOC_GAME
     q["doc_software"] = DOC_SOFTWARE
     q["doc_song"] = DOC_SONG
+    q["doc_song_by_id"] = (DOC_SONG.replace("WHERE msa.music_id = m.album_id", "WHERE msa.music_id = m.id")
+                           .replace("WHERE mg.music_id = m.album_id", "WHERE mg.music_id = m.id"))
+    q["bucketed_doc_movie"] = DOC_MOVIE
     q["shared_doc_book"] = DOC_BOOK
     q["shared_doc_game"] = DOC_GAME
     q["shared_doc_song"] = DOC_SONG

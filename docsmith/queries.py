@@ -219,6 +219,26 @@ def _shared_doc(doc: str):
     return q
 
 
+def q_doc_song_by_id(spark, sf_dir):
+    """Songs with artists and genres matched on the song id (the corrected
+    reading of the original's album-keyed subqueries)."""
+    from .plans import documents
+    return documents.comparable(_cat(spark, sf_dir), "song", options=Options(song_match="id"))
+
+
+def q_bucketed_doc_movie(spark, sf_dir):
+    """Movies over the catalogue rewritten bucketed by item key (the layout
+    for repeated rebuilds); must equal the movies over the plain catalogue."""
+    import uuid
+    from .job import staging_root
+    from .plans import documents
+    from .sources.layout import bucket_catalogue
+    db = f"docsmith_{uuid.uuid4().hex[:8]}"
+    bcat = bucket_catalogue(spark, _cat(spark, sf_dir), db, staging_root(spark, "bucketed"),
+                            int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return documents.comparable(bcat, "movie")
+
+
 def q_doc_book_nested(spark, sf_dir):
     from .plans import documents
     return shape.as_json(documents.build(_cat(spark, sf_dir), "book"))
@@ -278,6 +298,8 @@ QUERIES = {
     "shared_doc_book": _shared_doc("book"),
     "shared_doc_game": _shared_doc("game"),
     "shared_doc_song": _shared_doc("song"),
+    "doc_song_by_id": q_doc_song_by_id,
+    "bucketed_doc_movie": q_bucketed_doc_movie,
     "doc_book_nested": q_doc_book_nested,
     "conformance": q_conformance,
     "rebuild_all": q_rebuild_all,
