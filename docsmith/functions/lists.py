@@ -68,14 +68,6 @@ def expand_multiset(pairs: Column, value_field: str, times: Column | None = None
     return null_if_empty(F.array_sort(F.flatten(F.transform(kept, rep))))
 
 
-def multiset_length(pairs: Column, value_field: str, times: Column | None = None,
-                    count_field: str = "n") -> Column:
-    factor = F.lit(1) if times is None else times
-    kept = F.filter(pairs, lambda p: p.getField(value_field).isNotNull())
-    return F.aggregate(kept, F.lit(0).cast("long"),
-                       lambda acc, p: acc + p.getField(count_field) * factor)
-
-
 def as_text(arr: Column, sep: str = ",") -> Column:
     """Comparable text form of a list: elements joined in list order."""
     return F.array_join(F.transform(arr, lambda x: x.cast("string")), sep)

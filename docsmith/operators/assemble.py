@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import doc_key
-from ..functions.lists import expand_multiset, multiset_length, ordered_distinct
+from ..functions.lists import expand_multiset, ordered_distinct
 from ..params import Options
 from ..plans.model import Branch, DocSpec, flat_name
 from ..sources.catalogue import Catalogue
@@ -120,7 +120,6 @@ def assemble(cat: Catalogue, spec: DocSpec, options: Options | None = None,
             exprs["restrict.type"] = F.col(type_col(b))
             exprs["restrict.country_code[]"] = ordered_distinct(rows, "v", "o")
             exprs["restrict.date[]"] = expand_multiset(rows, "d", times)
-            exprs["__restrict_date_count"] = multiset_length(rows, "d", times)
 
     labels, cols = [], []
     for f in spec.fields:

@@ -2,7 +2,7 @@
 
 * ``nested``: dotted labels become nested structs (any depth), ``[]``
   labels are arrays - the document as it is indexed;
-* ``flat``: one column per label (``people.author[]`` -> ``people_author``),
+* flat (``Document.df``): one column per label (``people.author[]`` -> ``people_author``),
   lists kept as arrays;
 * ``comparable``: flat, lists rendered as comma-joined text in list order,
   for engine-to-engine comparison only (a comma inside a value is not
@@ -55,10 +55,6 @@ def nested(doc: Document) -> DataFrame:
     return doc.df.select(*_build(label_tree(doc.labels)))
 
 
-def flat(doc: Document) -> DataFrame:
-    return doc.df
-
-
 def comparable(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:

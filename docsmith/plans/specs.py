@@ -86,7 +86,6 @@ def subquery(b: Branch, root_ref: str) -> Branch:
 
 
 SCORE_LABELS = lambda p: tuple(f"sorting_score.{n}" for n, _ in p.devices)
-RESTRICT_LABELS = ("restrict.type", "restrict.country_code[]", "restrict.date[]")
 
 
 def _key(p: Params, kind: str, *cols: str) -> tuple:

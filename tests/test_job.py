@@ -95,3 +95,12 @@ def test_entry_contract(spark):
     df = e.entry(spark)
     assert df.count() == Catalogue.from_adapter(spark, SF0001)["book"].count()
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_cli(spark, tmp_path, capsys):
+    from docsmith.job import main
+    main(["book", "--catalogue", f"adapter:{SF0001}", "--target", str(tmp_path), "--dates", "clean"])
+    out = capsys.readouterr().out.split()
+    assert out[0] == "book" and os.path.isdir(out[2])
+    with pytest.raises(ValueError):
+        main(["bookz", "--catalogue", f"adapter:{SF0001}", "--target", str(tmp_path)])
