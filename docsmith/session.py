@@ -62,8 +62,9 @@ def apply_scale_conf(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for staged tables: ``spark.checkpoint.dir`` if the cluster
-    names one, else a scratch folder (local runs and tests only)."""
+    """The shared folder for staged tables: ``spark.checkpoint.dir`` as the
+    cluster names it.  Only a local-mode session without one gets a scratch
+    folder; on a cluster its absence is an error."""
     return ensure_checkpoint_dir(spark)
 
 
@@ -75,7 +76,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        # Only reached when nothing is configured, i.e. a local session.
+        if not sc.master.startswith("local"):
+            # a machine-local folder is invisible to the other executors
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="docsmith-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
