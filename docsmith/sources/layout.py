@@ -39,7 +39,7 @@ def bucket_catalogue(spark: SparkSession, cat: Catalogue, database: str, root: s
     item-keyed ones bucketed (and sorted) by their key; return the catalogue
     over the written tables."""
     keys = item_keys(docs)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{os.path.join(root, '_db')}'")
     for name in cat.names():
         w = cat[name].write.mode("overwrite").format("parquet").option("path", os.path.join(root, name))
         if name in keys:
