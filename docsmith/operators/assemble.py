@@ -52,6 +52,17 @@ def key_bounds(root: DataFrame, key: str = "id") -> tuple:
     return (int(r["lo"]), int(r["hi"]) + 1)
 
 
+def _join_rank(spec: DocSpec, b: Branch) -> int:
+    partitioned_on = set()
+    for rj in spec.root_joins:
+        right_keys = {rc for _, rc in rj.on}
+        partitioned_on |= {lc for lc, _ in rj.on}
+        partitioned_on |= {new for src, new in rj.select if src in right_keys}
+    if b.root_ref in partitioned_on:
+        return 0
+    return 2 if b.root_ref == "id" else 1
+
+
 def _product(cols: list[Column]) -> Column:
     return reduce(lambda a, b: a * b, cols, F.lit(1).cast("long"))
 
@@ -78,8 +89,11 @@ def assemble(cat: Catalogue, spec: DocSpec, options: Options | None = None,
         root = root.join(right, cond, rj.how).select(
             *root_cols, *[F.col(f"__rj_{rj.alias}_{s}").alias(new) for s, new in rj.select])
 
-    # N:1 lookups first (narrow root, broadcast-sized), then the id-keyed branches.
-    ordered = sorted(spec.branches, key=lambda b: b.root_ref == "id")
+    # Join order: first the branches keyed by the column the root is already
+    # partitioned on (a root join's key), then N:1 lookups (narrow root,
+    # usually broadcast), then the id-keyed branches - so each distinct key
+    # shuffles the root at most once.
+    ordered = sorted(spec.branches, key=lambda b: _join_rank(spec, b))
     taken = set(root.columns)
     for b in ordered:
         agg = prebuilt.get(b.name)

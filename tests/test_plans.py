@@ -78,3 +78,19 @@ def test_root_shuffled_once_for_id_keyed_branches(spark):
     root_exchanges = text.count(f"Exchange hashpartitioning({rid},")
     assert smj == 10            # 5 people/genre branches, video, restrict, filters, languages, scores
     assert root_exchanges == 1  # the document is never re-shuffled between the joins
+
+
+def test_song_branches_reuse_album_partitioning(spark):
+    # the album join already partitions the songs by album id: the album-keyed
+    # branches are joined on it without re-shuffling the songs
+    cat = Catalogue.from_adapter(spark, SF001)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = documents.build(cat, "song").df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("SortMergeJoin [__album_id") == 3
+    assert "Exchange hashpartitioning(__album_id" not in plan
