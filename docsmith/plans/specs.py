@@ -14,6 +14,57 @@ from ..params import Options, Params
 from .model import Branch, DocSpec, Join, Out, RootJoin
 
 
+# The field labels of each document type, in output order.
+# "*" stands for the root columns passed through; "sorting_score.*" for one
+# score per configured device.  "restrict.song.country_code[]" is spelled
+# "restrict.song.contry_code[]" under Options(legacy_labels=True).
+FIELDS = {
+    "book": ("episode_id", "*", "_id", "media_type", "media_id", "licensor_status", "is_public",
+             "restrict.type", "content_segments[]", "restrict.country_code[]", "restrict.date[]",
+             "people.author[]", "people.artist[]", "genre[]", "site_exclusion_id[]", "languages[]",
+             "sorting_score.*"),
+    "album": ("episode_id", "_id", "labelName[]", "song_count", "licensor_status", "is_public",
+              "restrict.type", "restrict.country_code[]", "restrict.date[]", "media_type", "media_id",
+              "*", "people.artist[]", "genre[]", "data_source_provider_name", "content_segments[]",
+              "site_exclusion_id[]", "languages[]", "sorting_score.*"),
+    "movie": ("*", "_id", "licensor_status", "restrict.type", "is_public", "restrict.country_code[]",
+              "restrict.date[]", "media_type", "media_id", "people.actor[]", "people.director[]",
+              "people.producer[]", "people.writer[]", "genre[]", "content_segments[]", "languages[]",
+              "site_exclusion_id[]", "brightcove_id", "non_drm_brightcove_id", "sorting_score.*"),
+    "game": ("episode_id", "_id", "licensor_status", "is_public", "restrict.type",
+             "restrict.country_code[]", "restrict.date[]", "media_type", "media_id", "*",
+             "people.developer[]", "category.name[]", "category.os[]", "genre[]", "game_type[]",
+             "game_type_name[]", "content_segments[]", "site_exclusion_id[]", "is_yummy",
+             "languages[]", "sorting_score.*"),
+    "software": ("episode_id", "_id", "licensor_status", "is_public", "restrict.type",
+                 "restrict.country_code[]", "restrict.date[]", "media_type", "media_id", "*",
+                 "category", "people.softwareType[]", "software_platform[]", "genre[]",
+                 "content_segments[]", "site_exclusion_id[]", "languages[]", "sorting_score.*"),
+    "song": ("episode_id", "media_id", "*", "data_source_provider_name", "media_type",
+             "album_title", "_id", "restrict.type", "restrict.country_code[]", "restrict.date[]",
+             "people.artist[]", "genre[]", "restrict.song.country_code[]"),
+}
+
+
+def fields_for(doc: str, p: Params, kind: str, sources: dict | None = None,
+               renames: dict | None = None) -> tuple:
+    """The spec ``fields`` of a document type: labels, with the constant and
+    renamed ones resolved (``episode_id`` 0, ``media_type`` the type name,
+    ``media_id`` the root id unless ``sources`` says otherwise)."""
+    src = {"episode_id": 0, "media_type": p.media_name(kind), "media_id": "@id"}
+    src.update(sources or {})
+    out = []
+    for label in FIELDS[doc]:
+        label = (renames or {}).get(label, label)
+        if label == "sorting_score.*":
+            out += [f"sorting_score.{n}" for n, _ in p.devices]
+        elif label in src:
+            out.append((label, src[label]))
+        else:
+            out.append(label)
+    return tuple(out)
+
+
 # ---- branches shared by several document types -----------------------------
 
 def restriction(p: Params, kind: str, key: str = "media_id", root_ref: str = "id",
@@ -85,7 +136,6 @@ def subquery(b: Branch, root_ref: str) -> Branch:
     return replace(b, root_ref=root_ref, fanout=False)
 
 
-SCORE_LABELS = lambda p: tuple(f"sorting_score.{n}" for n, _ in p.devices)
 
 
 def _key(p: Params, kind: str, *cols: str) -> tuple:
@@ -97,11 +147,7 @@ def _key(p: Params, kind: str, *cols: str) -> tuple:
 def book(p: Params, o: Options) -> DocSpec:
     return DocSpec(
         doc="book", root="book", kind="book", key_parts=_key(p, "book", "id"),
-        fields=(("episode_id", 0), "*", "_id", ("media_type", p.media_name("book")),
-                ("media_id", "@id"), "licensor_status", "is_public", "restrict.type",
-                "content_segments[]", "restrict.country_code[]", "restrict.date[]",
-                "people.author[]", "people.artist[]", "genre[]", "site_exclusion_id[]",
-                "languages[]") + SCORE_LABELS(p),
+        fields=fields_for("book", p, "book"),
         branches=(
             licensor(p, p.media_name("book")),
             people("authors", "book_authors", "bau", "book_id", "author_id", "author", "people.author[]"),
@@ -118,11 +164,7 @@ def album(p: Params, o: Options) -> DocSpec:
     lic_name = "" if o.legacy_licensor else (p.album_licensor_media_name or p.media_name("music"))
     return DocSpec(
         doc="album", root="music_album", kind="music", key_parts=_key(p, "music", "id"),
-        fields=(("episode_id", 0), "_id", "labelName[]", "song_count", "licensor_status",
-                "is_public", "restrict.type", "restrict.country_code[]", "restrict.date[]",
-                ("media_type", p.media_name("music")), ("media_id", "@id"), "*",
-                "people.artist[]", "genre[]", "data_source_provider_name", "content_segments[]",
-                "site_exclusion_id[]", "languages[]") + SCORE_LABELS(p),
+        fields=fields_for("album", p, "music"),
         branches=(
             licensor(p, lic_name),
             Branch(name="provider", table="data_source_provider", alias="dsp", key="id",
@@ -146,11 +188,7 @@ def album(p: Params, o: Options) -> DocSpec:
 def movie(p: Params, o: Options) -> DocSpec:
     return DocSpec(
         doc="movie", root="movie", kind="movie", key_parts=_key(p, "movie", "id"),
-        fields=("*", "_id", "licensor_status", "restrict.type", "is_public",
-                "restrict.country_code[]", "restrict.date[]", ("media_type", p.media_name("movie")),
-                ("media_id", "@id"), "people.actor[]", "people.director[]", "people.producer[]",
-                "people.writer[]", "genre[]", "content_segments[]", "languages[]",
-                "site_exclusion_id[]", "brightcove_id", "non_drm_brightcove_id") + SCORE_LABELS(p),
+        fields=fields_for("movie", p, "movie"),
         branches=(
             licensor(p, p.media_name("movie")),
             people("actors", "movie_actors", "ma", "movie_id", "actor_id", "actors", "people.actor[]"),
@@ -175,11 +213,7 @@ def movie(p: Params, o: Options) -> DocSpec:
 def game(p: Params, o: Options) -> DocSpec:
     return DocSpec(
         doc="game", root="game", kind="game", key_parts=_key(p, "game", "id"),
-        fields=(("episode_id", 0), "_id", "licensor_status", "is_public", "restrict.type",
-                "restrict.country_code[]", "restrict.date[]", ("media_type", p.media_name("game")),
-                ("media_id", "@id"), "*", "people.developer[]", "category.name[]", "category.os[]",
-                "genre[]", "game_type[]", "game_type_name[]", "content_segments[]",
-                "site_exclusion_id[]", "is_yummy", "languages[]") + SCORE_LABELS(p),
+        fields=fields_for("game", p, "game"),
         branches=(
             licensor(p, p.media_name("game")),
             Branch(name="developer", table="developer", alias="de", key="id", root_ref="developer_id",
@@ -203,11 +237,7 @@ def game(p: Params, o: Options) -> DocSpec:
 def software(p: Params, o: Options) -> DocSpec:
     return DocSpec(
         doc="software", root="software", kind="software", key_parts=_key(p, "software", "id"),
-        fields=(("episode_id", 0), "_id", "licensor_status", "is_public", "restrict.type",
-                "restrict.country_code[]", "restrict.date[]", ("media_type", p.media_name("software")),
-                ("media_id", "@id"), "*", "category", "people.softwareType[]", "software_platform[]",
-                "genre[]", "content_segments[]", "site_exclusion_id[]", "languages[]")
-               + SCORE_LABELS(p),
+        fields=fields_for("software", p, "software"),
         text_fields=(("category", "platform"),),
         branches=(
             licensor(p, p.media_name("software")),
@@ -236,11 +266,10 @@ def song(p: Params, o: Options) -> DocSpec:
         doc="song", root="music", kind="music", key_style="concat_ws",
         key_parts=_key(p, "music", "__album_id", "id"),
         grouped=False,
-        fields=(("episode_id", 0), ("media_id", "@__album_id"), "*",
-                ("data_source_provider_name", "@__provider_name"),
-                ("media_type", p.media_name("music")), ("album_title", "@__album_title"), "_id",
-                "restrict.type", "restrict.country_code[]", "restrict.date[]", "people.artist[]",
-                "genre[]", ca_label),
+        fields=fields_for("song", p, "music",
+                          {"media_id": "@__album_id", "data_source_provider_name": "@__provider_name",
+                           "album_title": "@__album_title"},
+                          {"restrict.song.country_code[]": ca_label}),
         root_joins=(
             RootJoin("music_album", "ma", (("album_id", "id"),),
                      (("id", "__album_id"), ("title", "__album_title"),
