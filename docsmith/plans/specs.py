@@ -286,7 +286,7 @@ def song(p: Params, o: Options) -> DocSpec:
                    "genre[]", how="inner"), match),
             Branch(name="ca_file", table="music_files", alias="mf", key="music_id",
                    where=(("region", "CA"),), fanout=False,
-                   outs=(Out(ca_label, "mf.region", "any_list"),)),
+                   outs=(Out(ca_label, "mf.region"),)),
         ),
         legacy_dup=legacy)
 
