@@ -18,6 +18,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+MAX_ARRAY = 2147483632  # largest Spark array
+TOO_LONG = "date list longer than an array can hold; use dates='clean'"
+
+
 def null_if_empty(arr: Column) -> Column:
     return F.when(F.size(arr) > 0, arr)
 
@@ -62,7 +66,10 @@ def expand_multiset(pairs: Column, value_field: str, times: Column | None = None
     factor = F.lit(1) if times is None else times
 
     def rep(p):
-        return F.array_repeat(p.getField(value_field), (p.getField(count_field) * factor).cast("int"))
+        n = p.getField(count_field).cast("long") * factor
+        # an array cannot hold more; fail rather than let the int cast wrap
+        checked = F.when(n > F.lit(MAX_ARRAY), F.raise_error(F.lit(TOO_LONG))).otherwise(n).cast("int")
+        return F.array_repeat(p.getField(value_field), checked)
 
     kept = F.filter(pairs, lambda p: p.getField(value_field).isNotNull())
     return null_if_empty(F.array_sort(F.flatten(F.transform(kept, rep))))

@@ -181,3 +181,14 @@ def test_nested_shape(make_cat):
     n = shape.nested(documents.build(cat, "book")).first()
     assert n["people"]["author"] == ["A"] and n["restrict"]["type"] is None
     assert set(n["sorting_score"].asDict()) == {"pc", "mobile", "tablet", "mac", "console"}
+
+
+def test_exact_dates_overflow_fails_loudly(spark):
+    from pyspark.sql import functions as F
+    from docsmith.functions.lists import expand_multiset
+    df = spark.createDataFrame([(1,)], "k int").select(
+        F.array(F.struct(F.lit("d").alias("d"), F.lit(3).cast("long").alias("n"))).alias("rows"))
+    assert df.select(expand_multiset(F.col("rows"), "d", F.lit(2)).alias("x")).first()["x"] == ["d"] * 6
+    with pytest.raises((Py4JJavaError, PySparkException)) as e:
+        df.select(expand_multiset(F.col("rows"), "d", F.lit(10 ** 10)).alias("x")).collect()
+    assert "longer than an array" in str(e.value)
