@@ -161,7 +161,7 @@ def folded_aliases(b: Branch) -> set:
     return {j.alias for j in b.joins if j.fold}
 
 
-def _out_agg(o, fold_case: bool) -> Column:
+def _out_agg(o, fold_case: bool, dtype: str | None = None) -> Column:
     c = F.col(col_name(o.ref))
     if o.agg == "distinct":
         return collect_distinct(c, fold_case).alias(flat_name(o.label))
@@ -170,6 +170,10 @@ def _out_agg(o, fold_case: bool) -> Column:
     if o.agg == "count_distinct":
         return F.countDistinct(c).alias(flat_name(o.label))
     if o.agg in ("any", "any_list"):
+        if dtype == "string":
+            # min of the distinct values: same result as min(), but a string
+            # min cannot use the hash aggregate and would sort instead
+            return F.array_min(F.collect_set(c)).alias(flat_name(o.label))
         return F.min(c).alias(flat_name(o.label))
     raise ValueError(f"unknown aggregate {o.agg!r}")
 
@@ -216,7 +220,7 @@ def build_branch(cat: Catalogue, b: Branch, case_insensitive: bool = False,
     types = dict(rows.dtypes)
     fold = {o.label: case_insensitive and types.get(col_name(o.ref)) == "string" for o in b.outs}
     aggs = [F.count(F.lit(1)).alias(n_col(b))]
-    aggs += [_out_agg(o, fold[o.label]) for o in b.outs]
+    aggs += [_out_agg(o, fold[o.label], types.get(col_name(o.ref))) for o in b.outs]
     agg = rows.groupBy(*extra, k).agg(*aggs)
     return agg.select(*extra, key_col(b), n_col(b), *[_out_finish(o, fold[o.label]) for o in b.outs])
 
@@ -253,7 +257,7 @@ def _build_folded(cat: Catalogue, b: Branch, case_insensitive: bool,
                 finish.append(finish_distinct(merged, ci).alias(name))
         else:
             ci = case_insensitive and types.get(col_name(o.ref)) == "string"
-            aggs.append(_out_agg(o, ci))
+            aggs.append(_out_agg(o, ci, types.get(col_name(o.ref))))
             finish.append(_out_finish(o, ci))
     agg = rows.groupBy(*extra, k).agg(*aggs)
     return agg.select(*extra, key_col(b), n_col(b), *finish)
