@@ -74,17 +74,28 @@ class Catalogue:
 
     @classmethod
     def from_jdbc(cls, spark: SparkSession, url: str, properties: dict, names=None,
-                  fetchsize: int = 100, partitioned: dict | None = None) -> "Catalogue":
-        """JDBC catalogue.  ``partitioned`` maps a root table to the list of
+                  fetchsize: int = 100, partitioned: dict | None = None,
+                  segmented: dict | None = None) -> "Catalogue":
+        """JDBC catalogue.  ``partitioned`` maps a table to the list of
         predicates (see ``ranges.jdbc_predicates``) used to read it in parallel,
         one predicate per segment, as the original job issued one statement per
-        id range."""
+        id range.  ``segmented`` maps a table to a segment size instead: its
+        largest id is probed in the database (one scalar) when the table is
+        first used, and the predicates are derived from it."""
+        from .ranges import jdbc_predicates
         names = names or sorted(ADAPTER_SQL)
         props = dict(properties)
         props.setdefault("fetchsize", str(fetchsize))
-        partitioned = partitioned or {}
+        partitioned = dict(partitioned or {})
+
+        def probe(n: str, size: int) -> list[str]:
+            m = spark.read.jdbc(url, f"(SELECT max(id) AS m FROM {n}) probe", properties=props).first()
+            return jdbc_predicates(m[0] if m else None, size)
 
         def loader(n: str) -> Callable[[], DataFrame]:
+            if n in (segmented or {}):
+                return lambda: spark.read.jdbc(url, n, predicates=probe(n, segmented[n]) or ["1 = 0"],
+                                               properties=props)
             if n in partitioned:
                 return lambda: spark.read.jdbc(url, n, predicates=list(partitioned[n]), properties=props)
             return lambda: spark.read.jdbc(url, n, properties=props)

@@ -50,6 +50,13 @@ def test_no_python_udfs(spark):
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, doc
 
 
+def test_no_sort_aggregates(spark):
+    cat = Catalogue.from_adapter(spark, SF001)
+    for doc in ("book", "album", "movie", "game", "software", "song"):
+        plan = _plan(shape.nested(documents.build(cat, doc)))
+        assert "SortAggregate" not in plan, doc
+
+
 def test_no_cartesian_products(spark):
     cat = Catalogue.from_adapter(spark, SF001)
     for doc in ("book", "album", "movie", "game", "software", "song"):

@@ -17,8 +17,9 @@ def test_jdbc_predicates_cover_segments():
 def test_jdbc_catalogue_is_lazy(spark):
     # nothing connects until a table is used
     cat = Catalogue.from_jdbc(spark, "jdbc:none://nowhere", {"user": "u"},
-                              partitioned={"book": ranges.jdbc_predicates(10, 5)})
-    assert "book" in cat and "author" in cat
+                              partitioned={"book": ranges.jdbc_predicates(10, 5)},
+                              segmented={"movie": 1000})
+    assert "book" in cat and "author" in cat and "movie" in cat
 
 
 def test_adapter_text():
