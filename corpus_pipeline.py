@@ -8,15 +8,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docsmith.llm import mixing, packing, simhash
+from docsmith.llm import mixing, packing, pii, quality_model, simhash
 from docsmith.llm.common import staged, table
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality classifier: documents that it rejects go."""
+    return quality_model.keep_good(spark, docs, table(spark, sf_dir, "labels"), threshold=0.7)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SimHash near-dedup: one document of each component stays."""
     return simhash.drop_near_duplicates(spark, docs, shingle=3, radius=2)
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """PII: personal data is generalised, disclosing terms are removed."""
+    return pii.sanitise(spark, docs)
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing: the copies that the curriculum takes, in training order."""
     return mixing.mix(spark, docs)
@@ -28,7 +38,9 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality", quality),
     ("near-duplicates", near_duplicates),
+    ("personal-data", personal_data),
     ("mixing", mixture),
     ("packing", packed),
 ]

@@ -8,10 +8,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsmith.llm import mixing, packing, sharding, simhash
+from docsmith.llm import (html_extract, mixing, packing, pii, quality_model, quality_rules,
+                          sharding, simhash, suffix_dedup, topk)
 from docsmith.llm.common import table, text_or_empty
 
 
+def op1_template_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract(spark, table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"),
+                        "n_templates")
+
+
+def op2_information_theoretic_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pii.find(spark, table(spark, sf_dir, "documents"))
+    kinds = [pii.number_of(F.col("spans"), kind).alias(f"n_{kind}") for kind, *_ in pii.KINDS]
+    spans = F.array_sort(F.concat("spans", "term_spans"))
+    return rows.select("doc_id", *kinds, F.sha2(pii.written(F.col("spans")), 256).alias("base_sha256"),
+                       pii.written(spans).alias("spans"),
+                       F.size("term_spans").cast("long").alias("n_term"))
+
+
+def op3_prefix_free_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(spark, table(spark, sf_dir, "documents"), length=400)
+
+
+def op4_boosted_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.classify(spark, table(spark, sf_dir, "documents"),
+                                  table(spark, sf_dir, "labels"), threshold=0.7)
+
+
+def op5_no_random_access_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(spark, table(spark, sf_dir, "embeddings"), k=5, scale=256, every=50)
+
+
 def op6_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.schedule(spark, table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target",
@@ -28,6 +57,14 @@ def op7_hypergeometric_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(spark, table(spark, sf_dir, "documents"),
+                                 table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                         "n_repeat_words", "base_failed", "kept",
+                         F.concat_ws(",", "rejected_by").alias("rejected_by"))
+
+
 def op9_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"), capacity=1024)
 
@@ -39,5 +76,7 @@ def op10_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op6_curriculum_mix, op7_hypergeometric_shuffle, op9_cost_balanced_packing,
+    op1_template_removal, op2_information_theoretic_pii,
+    op3_prefix_free_parsing, op4_boosted_quality, op5_no_random_access_topk, op6_curriculum_mix,
+    op7_hypergeometric_shuffle, op8_risk_controlled_rules, op9_cost_balanced_packing,
     op10_covering_simhash)}
