@@ -55,8 +55,28 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         spark.conf.set(key, str(rows))
 
 
-def text_or_empty(column: str = "text") -> Column:
-    return F.coalesce(F.col(column).cast("string"), F.lit(""))
+def packed(df: DataFrame) -> DataFrame:
+    """The whole row as one column ``_in``: whatever its columns are named, they
+    cannot clash with an operator's own."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_in"))
+
+
+def field(name: str) -> Column:
+    return F.col("_in").getField(name)
+
+
+def unpacked(columns: list[str]) -> list[Column]:
+    return [field(c).alias(c) for c in columns]
+
+
+def row_key(columns: list[str]) -> list[Column]:
+    """The content key (k1, k2) of a packed row."""
+    return content_key(*[field(c).cast("string") for c in columns])
+
+
+def text_or_empty(column: str | Column = "text") -> Column:
+    column = F.col(column) if isinstance(column, str) else column
+    return F.coalesce(column.cast("string"), F.lit(""))
 
 
 def content_key(*columns: Column) -> list[Column]:

@@ -1,5 +1,69 @@
-"""DuckDB SQL of the operators that SQL can express."""
+"""DuckDB SQL of the operators that SQL can express; the other queries are tested
+against brute force in tests/llm."""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+TOP_K = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS x FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.x, c.x), p -> p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
+"""
+
+MIX = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS uid, doc_id, source,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS order_key, md5(coalesce(text, '')) AS text_key
+  FROM documents),
+sized AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+    row_number() OVER (ORDER BY source NULLS LAST) AS n FROM d GROUP BY source),
+weighted AS (
+  SELECT source, source_size, [5, 2, 1][(n - 1) % 3 + 1] AS weight FROM sized),
+levels AS (
+  SELECT *, source_size * 3 / weight AS bound,
+    CAST(sum(source_size) OVER () - coalesce(sum(source_size * 3) OVER (
+      ORDER BY source_size * 3 / weight, source NULLS LAST
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
+    / sum(weight) OVER (ORDER BY source_size * 3 / weight, source NULLS LAST
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS here,
+    row_number() OVER (ORDER BY source_size * 3 / weight, source NULLS LAST) AS place
+  FROM weighted),
+level AS (SELECT arg_min(here, place) AS here FROM levels WHERE here <= bound),
+targets AS (
+  SELECT source, source_size,
+    least(level.here * weight, CAST(source_size * 3 AS DOUBLE)) AS target FROM weighted, level),
+placed AS (
+  SELECT d.*, t.source_size, t.target,
+    CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS epochs,
+    sum(size) OVER (PARTITION BY d.source ORDER BY order_key, text_key, size
+      ROWS UNBOUNDED PRECEDING) AS upto
+  FROM d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
+chosen AS (
+  SELECT *, size > 0 AND upto <= target - epochs * source_size AS extra FROM placed),
+gaps AS (
+  SELECT source, max(target - epochs * source_size)
+    - sum(CASE WHEN extra THEN size ELSE 0 END) AS gap FROM chosen GROUP BY source),
+fills AS (
+  SELECT uid FROM (
+    SELECT c.uid, row_number() OVER (PARTITION BY c.source
+      ORDER BY abs(size - gap), order_key, text_key, c.uid) AS n
+    FROM chosen c JOIN gaps g ON c.source IS NOT DISTINCT FROM g.source
+    WHERE NOT extra AND size > 0 AND abs(size - gap) < gap) x WHERE n = 1)
+SELECT doc_id, size, source_size, target, size * least(CAST(epochs AS BIGINT)
+    + CASE WHEN extra OR uid IN (SELECT uid FROM fills) THEN 1 ELSE 0 END, 3) AS taken
+FROM chosen
+"""
+
+ORACLE: dict[str, str] = {
+    "op5_no_random_access_topk": TOP_K,
+    "op6_curriculum_mix": MIX,
+}

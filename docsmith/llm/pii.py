@@ -39,7 +39,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsmith.llm.common import content_key, staged, text_or_empty
+from docsmith.llm.common import content_key, field, packed, staged, text_or_empty
 
 _PART = "0*(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 #: kind, pattern, characters without which there is no match.
@@ -236,25 +236,24 @@ def sanitise(spark: SparkSession, docs: DataFrame, text_col: str = "text",
     there is a column ``n_chars`` it follows the new text."""
     base = analyse(spark, docs, text_col)
     texts = disclosing_texts(spark, docs, base, text_col, **thresholds)
-    columns = docs.columns
-    clash = {"k1", "k2", "b", "terms", "_spans"} & set(columns)
-    if clash:
-        raise ValueError(f"columns clash with the operator's: {sorted(clash)}")
-    keyed = docs.select("*", *content_key(text_or_empty(text_col)))
+    text = text_or_empty(field(text_col))
+    keyed = packed(docs).select("_in", *content_key(text))
 
     def finish(rows: DataFrame) -> DataFrame:
-        out = rows.withColumn(text_col, replaced(F.col(text_col), F.col("_spans")))
-        if chars_col in columns:
-            out = out.withColumn(chars_col, F.length(text_col).cast(docs.schema[chars_col].dataType))
-        return out.select(*columns)
+        out = rows.withColumn("clean", F.when(field(text_col).isNotNull(),
+                                              replaced(text, F.col("spans"))))
+        new = {text_col: F.col("clean")}
+        if chars_col in docs.columns:
+            new[chars_col] = F.length("clean").cast(docs.schema[chars_col].dataType)
+        return out.select(*[new.get(c, field(c)).alias(c) for c in docs.columns])
 
     plain = keyed if texts is None else _near(keyed, texts, "left_anti")
-    plain = finish(plain.withColumn("_spans", base_spans(text_or_empty(text_col))))
+    plain = finish(plain.withColumn("spans", base_spans(text)))
     if texts is None:
         return plain
     told = _near(keyed, texts, "left_semi").join(texts, ["k1", "k2"], "left") \
-        .withColumn("_spans", base_spans(text_or_empty(text_col)))
+        .withColumn("spans", base_spans(text))
     terms = F.coalesce("terms", F.array().cast("array<string>"))
-    told = told.withColumn("_spans", F.array_sort(F.concat(
-        "_spans", _term_spans(text_or_empty(text_col), terms, F.col("_spans")))))
+    told = told.withColumn("spans", F.array_sort(F.concat(
+        "spans", _term_spans(text, terms, F.col("spans")))))
     return plain.unionByName(finish(told))

@@ -211,5 +211,4 @@ def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame,
                                                for t in texts], dtype=np.float64)
                                      .reshape(-1, len(FEATURES))))
 
-    return docs.withColumn("_score", score(text_or_empty(text_col))) \
-        .filter(F.col("_score") >= threshold).drop("_score")
+    return docs.filter(score(text_or_empty(text_col)) >= threshold)

@@ -37,8 +37,8 @@ RISK, ERROR = 0.02, 0.05
 
 @dataclass(frozen=True)
 class Rule:
-    """Rejects a document whose ``value`` is beyond the cutoff; ``cutoffs`` run
-    from the loosest to the strictest."""
+    """Rejects a document whose ``value`` is beyond the cutoff (a value that does
+    not exist is not); ``cutoffs`` run from the loosest to the strictest."""
 
     name: str
     value: str
@@ -51,11 +51,11 @@ class Rule:
 
 
 RULES = (
-    Rule("symbols", "n_symbols / n_words", (2.0, 1.5, 1.0, 0.7, 0.5, 0.3, 0.2, 0.1)),
-    Rule("repeated_words", "n_repeat_words / n_words", (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3)),
-    Rule("repeated_lines", "n_dup_lines / n_lines", (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3)),
-    Rule("short_words", "word_chars / n_words", (2.0, 2.5, 3.0, 3.5, 4.0), above=False),
-    Rule("long_words", "word_chars / n_words", (14.0, 12.0, 10.0, 9.0, 8.0, 7.0)),
+    Rule("symbols", "try_divide(n_symbols, n_words)", (2.0, 1.5, 1.0, 0.7, 0.5, 0.3, 0.2, 0.1)),
+    Rule("repeated_words", "try_divide(n_repeat_words, n_words)", (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3)),
+    Rule("repeated_lines", "try_divide(n_dup_lines, n_lines)", (0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3)),
+    Rule("short_words", "try_divide(word_chars, n_words)", (2.0, 2.5, 3.0, 3.5, 4.0), above=False),
+    Rule("long_words", "try_divide(word_chars, n_words)", (14.0, 12.0, 10.0, 9.0, 8.0, 7.0)),
 )
 
 

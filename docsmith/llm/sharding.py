@@ -17,7 +17,7 @@ so no task ever holds a shard.
 The draw depends only on ``seed``, the contents and the counts, so reruns and
 recomputed tasks agree.  Rows of equal content are interchangeable.  Null
 columns are part of the content; an empty table gives an empty result; every
-column of the input is kept (names that clash with the result's are refused).
+column of the input is kept, but for those named like the result's.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docsmith.llm.common import content_key, staged
+from docsmith.llm.common import packed, row_key, staged, unpacked
 
 PARTITIONS = 1024
 #: numpy's sampler takes populations below this; larger ones are drawn here.
@@ -81,10 +81,7 @@ def _random(seed: int, stage: str):
 def shard(spark: SparkSession, rows: DataFrame, shards: int = 8, seed: int = 0,
           partitions: int = PARTITIONS) -> DataFrame:
     """``rows`` with ``shard`` (int) and ``slot`` (long, gapless in its shard)."""
-    clash = {"shard", "slot", "k1", "k2", "copy", "_p", "_rank", "_key"} & set(rows.columns)
-    if clash:
-        raise ValueError(f"columns clash with the result's: {sorted(clash)}")
-    named = rows.select("*", *content_key(*[F.col(c).cast("string") for c in rows.columns]))
+    named = packed(rows).select("_in", *row_key(rows.columns))
     # equal rows are told apart by their place in the staged table
     named = staged(spark, named.withColumn("copy", F.monotonically_increasing_id()), "shard-rows")
     dealt = named.withColumn("_p", F.pmod(_random(seed, "deal"), F.lit(partitions)).cast("int"))
@@ -109,4 +106,4 @@ def shard(spark: SparkSession, rows: DataFrame, shards: int = 8, seed: int = 0,
     slots = ranged.withColumn("_rank", F.row_number().over(inside)).join(
         F.broadcast(starts), ["shard", "_p"])  # at most shards * partitions rows
     return slots.withColumn("slot", (F.col("first") + F.col("_rank") - 1).cast("long")) \
-        .select(*rows.columns, "shard", "slot")
+        .select(*unpacked([c for c in rows.columns if c not in ("shard", "slot")]), "shard", "slot")

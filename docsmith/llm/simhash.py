@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsmith.llm.common import content_key, small_batches, staged
+from docsmith.llm.common import field, packed, row_key, small_batches, staged, unpacked
 
 BITS = 64
 SEED = 42
@@ -187,10 +187,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = 3,
     """The rows of ``docs`` that stay: one of each component, that of its
     smallest id (ties, and components without any id: smallest content hash; of
     fully equal rows, one)."""
-    columns = docs.columns
-    keyed = docs.select("*", *content_key(*[F.col(c).cast("string") for c in columns]))
-    found = simhash_components(spark, keyed, shingle, radius, id_col, text_col, keep=("k1", "k2"))
-    rows = found.groupBy("root", "k1", "k2", F.col(id_col).alias("id")).agg(F.count("*").alias("n"))
+    keyed = packed(docs).select("_in", *row_key(docs.columns))
+    found = simhash_components(
+        spark, keyed.select("k1", "k2", field(id_col).alias("id"), field(text_col).alias("text")),
+        shingle, radius, "id", "text", keep=("k1", "k2"))
+    rows = found.groupBy("root", "k1", "k2", "id").agg(F.count("*").alias("n"))
     best = rows.groupBy("root").agg(
         F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "k1", "k2", "n")).alias("row"))
     chosen = staged(spark, best.select("row.k1", "row.k2", "row.n"), "simhash-chosen")
@@ -198,4 +199,4 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = 3,
     once = keyed.join(chosen.filter("n = 1").select("k1", "k2"), ["k1", "k2"], "left_semi")
     repeated = keyed.join(chosen.filter("n > 1").select("k1", "k2"), ["k1", "k2"], "left_semi") \
         .dropDuplicates(["k1", "k2"])
-    return once.unionByName(repeated).select(*columns)
+    return once.unionByName(repeated).select(*unpacked(docs.columns))

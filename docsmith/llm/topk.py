@@ -99,20 +99,21 @@ def _matrix(vectors: pd.Series, width: int) -> np.ndarray:
 def _best(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
     found = []
     if len(queries) and len(rows):
-        width = max(queries["v"].map(len).max(), rows["v"].map(len).max(), 1)
-        v, q = _matrix(rows["v"], width), _matrix(queries["v"], width)
+        width = max(queries["q"].map(len).max(), rows["v"].map(len).max(), 1)
+        v, q = _matrix(rows["v"], width), _matrix(queries["q"], width)
         place = {u: i for i, u in enumerate(rows["uid"])}
-        own = np.array([place.get(u, -1) for u in queries["uid"]])
+        own = np.array([place.get(u, -1) for u in queries["query_uid"]])
         ids = rows["id"].to_numpy()
         step = max(1, _CELLS // len(rows))
         for a in range(0, len(q), step):
             qi, vi, scores = no_random_access(q[a:a + step], v, own[a:a + step], k)
-            part = pd.DataFrame({"query_uid": queries["uid"].to_numpy()[a + qi],
-                                 "query_id": queries["id"].to_numpy()[a + qi],
+            part = pd.DataFrame({"query_uid": queries["query_uid"].to_numpy()[a + qi],
+                                 "query_id": queries["query_id"].to_numpy()[a + qi],
                                  "vec_id": ids[vi], "score": scores, "uid": vi})
             part = part.sort_values(["score", "vec_id", "uid"], ascending=[False, True, True],
                                     na_position="last")
             found.append(part.groupby("query_uid", sort=False).head(k))
+    found = [x for x in found if len(x)]
     if not found:
         return pd.DataFrame(columns=["query_uid", "query_id", "vec_id", "score"])
     out = pd.concat(found).drop(columns="uid")
@@ -134,12 +135,14 @@ def top_k(spark: SparkSession, vectors: DataFrame, queries: DataFrame | None = N
     rows = staged(spark, vectors.filter(usable).select(
         F.col(id_col).cast("long").alias("id"), ints.alias("v"),
         F.monotonically_increasing_id().alias("uid")), "topk-vectors")
-    asked = rows.filter(F.col("id") % every == 0)
+    # other names, so the two sides of the cogroup share no column
+    asked = rows.filter(F.col("id") % every == 0).select(
+        F.col("id").alias("query_id"), F.col("v").alias("q"), F.col("uid").alias("query_uid"))
     n, m = rows.count(), asked.count()
     blocks, query_blocks = max(1, -(-n // block)), max(1, -(-m // query_block))
     dealt = rows.withColumn("b", F.pmod(F.xxhash64("uid"), F.lit(blocks))).withColumn(
         "qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)).cast("array<long>")))
-    spread = asked.withColumn("qb", F.pmod(F.xxhash64("uid", F.lit("q")), F.lit(query_blocks))) \
+    spread = asked.withColumn("qb", F.pmod(F.xxhash64("query_uid", F.lit("q")), F.lit(query_blocks))) \
         .withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<long>")))
 
     def best(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:

@@ -1,0 +1,85 @@
+import pytest
+
+from docsmith.llm import html_extract as H
+
+PAGE = ("<!DOCTYPE html><html><head><title>T</title><script>var t='</p>';</script></head><body>"
+        "<nav><ul><li>menu</li></ul></nav><div class='ad'>buy</div><article><h1>Head &amp; line</h1>"
+        "<p>One\n two<br>three <b>bold</b>.</p><p>Two&nbsp;x</p></article><footer>&copy; f</footer>"
+        "</body></html>")
+
+
+def text(html, templates=()):
+    root = H.parse(html)
+    H.hash_subtrees(root)
+    return "\n".join(H.blocks(root, set(templates)))
+
+
+@pytest.mark.parametrize("html, want", [
+    (PAGE, "Head & line\nOne two three bold.\nTwo x"),
+    ("", ""), ("plain &lt;text&gt; &am", "plain <text> &am"), ("a < b and c", "a < b and c"),
+    ("<article><p><b>x<br><p>y</p></article>", "x\ny"),
+    ("<article><p>a<p>b<div>c</article>after", "a\nb\nc"),
+    ("<article>a<!-- <p>no</p> -->b</article>", "ab"),
+    ("<article>a<!-- never closed", "a"),
+    ("<article><p title='x > y'>a</p><p title=\"unclosed>b</p></article>", "a\nb"),
+    ("<article><p>a</p><p cla", "a"),
+    ("<body><p>a</p><aside>s</aside><form>f</form><p>b</p><script>x", "a\nb"),
+    ("<article><p>a</p><div class='reader-comments'><p>c</p></div><section id=sidebar>s</section>"
+     "<div hidden>h</div><div style='display: none'>n</div><div role=navigation>r</div></article>", "a"),
+    ("<article><header><h1>Title</h1></header><p>a</p></article><header>site</header>", "Title\na"),
+    ("<div class=header><article><p>a</p></article></div>", "a"),
+    ("<article><ul><li>a<li>b</ul><table><tr><td>1<td>2<tr><td>3</table></article>", "a\nb\n1\n2\n3"),
+    ("<ARTICLE><P>Up</P></ARTICLE>", "Up"), ("<main><p>m</p></main><p>o</p>", "m"),
+    ("<article><p>&#233;&#x41;&eacute;&amp</p></article>", "éAé&"),
+    ("<article>" + "<div>" * 5000 + "deep", "deep"),
+])
+def test_text(html, want):
+    assert text(html) == want
+
+
+def brute_templates(pages, least, share):
+    seen, contents = {}, {}
+    for host, html in pages:
+        root = H.parse(html)
+        H.hash_subtrees(root)
+        roots = H.content_roots(root)
+        content = tuple(x.hash for x in roots)
+        contents.setdefault(host, set()).add(content)
+        for c in H.candidates(root, roots):
+            seen.setdefault((host, c), set()).add(content)
+    return {k for k, v in seen.items() if len(v) >= least and len(v) >= share * len(contents[k[0]])}
+
+
+def test_templates_are_deleted_per_host(spark):
+    def page(host, i, box, lead="", shared="The same passage."):
+        return (i, f"https://{host}/p/{i}", f"<body><div>{box}</div><p>{lead or 'Own text ' + str(i)}</p>"
+                                            f"<p>{shared}</p></body>")
+    rows = [page("a.org", i, "Join our list") for i in range(12)]
+    rows += [page("b.org", 20 + i, "Join our list") for i in range(2)]
+    rows += [page("a.org", 40 + i, "Only here", "Copy") for i in range(12)]  # copies count once
+    rows += [(60, None, "<p>x</p>"), (61, "https://a.org/n", None), (None, "no url", "<p>y</p>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r for r in H.extract(spark, df, 5, 0.01).collect()}
+    assert got[0].text == "Own text 0" and got[0].n_templates == 2
+    assert got[20].text == "Join our list\nOwn text 20\nThe same passage."
+    assert got[40].text.startswith("Only here\nCopy")
+    assert (got[60].text, got[61].text, got[None].text) == ("x", "", "y")
+    want = brute_templates([(h.split("/")[2], x) for _, h, x in rows[:-3]], 5, 0.01)
+    for i, url, html in rows[:-3]:
+        known = [c for h, c in want if h == url.split("/")[2]]
+        assert got[i].text == text(html, known)
+
+
+def test_passages_of_articles_are_no_templates(spark):
+    rows = [(i, "http://h.net/", f"<nav>m{i % 2}</nav><article><p>License line.</p><p>t{i}</p>"
+                                 "<div><p>Follow us</p></div></article>") for i in range(30)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for r in H.extract(spark, df).collect():
+        assert r.text == f"License line.\nt{r.page_id}"
+
+
+def test_empty_table_and_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "http://h/", PAGE, "x", 2)],
+                               "page_id long, url string, html string, templates string, host long")
+    assert H.extract(spark, df.limit(0)).count() == 0
+    assert H.extract(spark, df.union(df)).count() == 2
