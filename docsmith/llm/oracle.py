@@ -5,12 +5,12 @@ from __future__ import annotations
 
 TOP_K = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS x FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x FROM embeddings
   WHERE embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-    CAST(list_sum(list_transform(list_zip(q.x, c.x), p -> p[1] * p[2])) AS BIGINT) AS score
+    CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
 r AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)

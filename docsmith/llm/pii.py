@@ -158,7 +158,13 @@ def disclosing_texts(spark: SparkSession, docs: DataFrame, base: DataFrame, text
         .agg(F.count("*").alias("c_e"))
     pairs = near.groupBy("entity", "term").agg(F.count("*").alias("c_te")) \
         .filter(F.col("c_te") >= support)
-    pairs = staged(spark, pairs.join(of_entity, "entity"), "pii-pairs")
+    # a term stands on at least the lines counted here, whatever the rest of the
+    # corpus holds: terms that stand beside many entities need no corpus count
+    of_lines = near.select("term", "line_key").distinct().groupBy("term") \
+        .agg(F.count("*").alias("c_n"))
+    pairs = staged(spark, pairs, "pii-pairs").join(of_lines, "term") \
+        .filter(-F.log2(F.col("c_te") / F.col("c_n")) <= residual_bits)
+    pairs = staged(spark, pairs.join(of_entity, "entity"), "pii-candidates")
     if pairs.isEmpty():
         return None
     buckets = pairs.select(_bucket(F.col("term")).alias("b")).distinct()
