@@ -4,8 +4,7 @@
   nothing is left; sorted, because the original order was unspecified;
 * ordered distinct list: each value ranked by its smallest sort key, ties
   broken by the value;
-* multiset list: one entry per contributing row, kept compressed as
-  ``(value, times)`` pairs until it is emitted.
+* multiset list: ``(date, times)`` pairs, lossless, never expanded.
 
 All of them aggregate with partial (map-side) aggregation, so a key that
 holds a large share of the rows is combined on the map side before the
@@ -18,10 +17,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-MAX_ARRAY = 2147483632  # largest Spark array
-TOO_LONG = "date list longer than an array can hold; use dates='clean'"
-
-
 def null_if_empty(arr: Column) -> Column:
     return F.when(F.size(arr) > 0, arr)
 
@@ -47,34 +42,25 @@ def finish_distinct(collected: Column, case_insensitive: bool = False) -> Column
     return null_if_empty(F.array_sort(collected))
 
 
-def ordered_distinct(pairs: Column, value_field: str = "value", order_field: str = "order") -> Column:
-    """From an array of structs carrying ``order`` and ``value``, the distinct
-    values ordered by their smallest ``order`` (ties: by value).
-
-    Sorting the pairs by (order, value) and keeping each value's first
-    occurrence gives exactly that ranking."""
-    s = F.array_sort(F.transform(pairs, lambda p: F.struct(p.getField(order_field).alias("o"),
-                                                           p.getField(value_field).alias("v"))))
-    vals = F.filter(F.transform(s, lambda p: p.getField("v")), lambda v: v.isNotNull())
-    return null_if_empty(F.array_distinct(vals))
-
-
-def expand_multiset(pairs: Column, value_field: str, times: Column | None = None,
-                    count_field: str = "n") -> Column:
-    """Expand ``(value, n)`` pairs into a sorted list; each value repeated
-    ``n * times`` times.  NULL values are skipped; NULL when empty."""
-    factor = F.lit(1) if times is None else times
+def ordered_values(entries: Column, value_field: str = "v") -> Column:
+    """The values of an array of sort keys that end in the value, one entry per
+    value, in the order of the keys."""
+    return null_if_empty(F.transform(F.array_sort(entries), lambda p: p.getField(value_field)))
 
-    def rep(p):
-        n = p.getField(count_field).cast("long") * factor
-        # an array cannot hold more; fail rather than let the int cast wrap
-        checked = F.when(n > F.lit(MAX_ARRAY), F.raise_error(F.lit(TOO_LONG))).otherwise(n).cast("int")
-        return F.array_repeat(p.getField(value_field), checked)
 
-    kept = F.filter(pairs, lambda p: p.getField(value_field).isNotNull())
-    return null_if_empty(F.array_sort(F.flatten(F.transform(kept, rep))))
+def multiset(pairs: Column, times: Column | None = None) -> Column:
+    """``(date, times)`` pairs sorted by date, each multiplied by ``times``; NULL
+    when empty.  The pairs are never expanded: their number is that of the
+    distinct dates, whatever the multiplicity."""
+    factor = F.lit(1).cast("long") if times is None else times
+    return null_if_empty(F.transform(F.array_sort(pairs), lambda p: F.struct(
+        p.getField("date").alias("date"), (p.getField("times") * factor).alias("times"))))
 
 
-def as_text(arr: Column, sep: str = ",") -> Column:
-    """Comparable text form of a list: elements joined in list order."""
+def as_text(arr: Column, pairs: bool = False, sep: str = ",") -> Column:
+    """Comparable text form of a list: elements joined in list order; pairs as
+    ``date x times``."""
+    if pairs:
+        return F.array_join(F.transform(arr, lambda p: F.concat_ws(
+            " x ", p.getField("date"), p.getField("times").cast("string"))), sep)
     return F.array_join(F.transform(arr, lambda x: x.cast("string")), sep)

@@ -8,7 +8,8 @@ narrow; below the broadcast threshold AQE turns them into broadcast joins.
 
 Non-distinct date lists need the multiplicity of the original many-way join:
 for item r it is the product, over all other fan-out branches, of their row
-counts (1 when empty).  Dates stay compressed as (date, times) until emitted.
+counts (1 when empty).  Dates are (date, times) pairs, which carry it without
+an entry per joined row.
 """
 
 from __future__ import annotations
@@ -20,12 +21,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import doc_key
-from ..functions.lists import expand_multiset, ordered_distinct
+from ..functions.lists import multiset, ordered_values
 from ..params import Options
 from ..plans.model import Branch, DocSpec, flat_name
 from ..sources.catalogue import Catalogue
 from ..sources.ranges import in_range
-from .branch import build_branch, key_col, n_col, rows_col, type_col
+from .branch import build_branch, constant_is, countries_col, dates_col, key_col, n_col, type_col
+from .lookup import checked
 
 ROWS = "__joined_rows"
 
@@ -42,25 +44,9 @@ class Document:
     root_columns: list     # the pass-through root columns
 
 
-def key_bounds(root: DataFrame, key: str = "id") -> tuple:
-    """``[max(0, min id), max id + 1)`` of the root - the ids a full rebuild
-    reads (negative ids are never read, as in the original's segment loop).
-    Two scalars pass through the driver; an empty root gives an empty range."""
-    r = root.where(F.col(key) >= 0).agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
-    if r["lo"] is None:
-        return (0, 0)
-    return (int(r["lo"]), int(r["hi"]) + 1)
-
-
-def _join_rank(spec: DocSpec, b: Branch) -> int:
-    partitioned_on = set()
-    for rj in spec.root_joins:
-        right_keys = {rc for _, rc in rj.on}
-        partitioned_on |= {lc for lc, _ in rj.on}
-        partitioned_on |= {new for src, new in rj.select if src in right_keys}
-    if b.root_ref in partitioned_on:
-        return 0
-    return 2 if b.root_ref == "id" else 1
+# A full rebuild reads ids from 0, as the original's segment loop did.  There is
+# no upper bound: rows that arrive after a probe must not be lost.
+FULL_RANGE = (0, None)
 
 
 def _product(cols: list[Column]) -> Column:
@@ -78,39 +64,45 @@ def assemble(cat: Catalogue, spec: DocSpec, options: Options | None = None,
     prebuilt = prebuilt or {}
     root = cat[spec.root]
     root_cols = list(root.columns)
-    if id_range is None:
-        id_range = key_bounds(root) if o.key_bounds else (0, None)
-    root = root.where(in_range("id", *id_range))
+    root = root.where(in_range("id", *(id_range or FULL_RANGE)))
+    if o.override:
+        # a computed field replaces a root column of its name
+        computed = {flat_name(f[0] if isinstance(f, tuple) else f).lower()
+                    for f in spec.fields if f != "*"}
+        root_cols = [c for c in root_cols if c == "id" or c.lower() not in computed]
+
+    def with_branches(df: DataFrame, branches) -> DataFrame:
+        for b in branches:
+            agg = prebuilt.get(b.name)
+            if agg is None:
+                agg = build_branch(cat, b, o.case_insensitive)
+            own = {c: f"__f_{c}" for c in agg.columns if not c.startswith("__")}
+            agg = agg.withColumnsRenamed(own)
+            df = df.join(agg, F.col(b.root_ref) == F.col(key_col(b)), "left").drop(key_col(b))
+        return df
+
+    # Branches keyed by a column of a joined table meet that table, one row per
+    # key, before the root does: the root (songs of a hot album) is then joined
+    # once, in a join that AQE can split.  The others follow: N:1 lookups while
+    # the root is narrow, then the id-keyed branches, which share one exchange.
+    left = list(spec.branches)
     for rj in spec.root_joins:
-        right = cat[rj.table].select([F.col(src).alias(f"__rj_{rj.alias}_{src}")
-                                      for src in {c for _, c in rj.on} | {s for s, _ in rj.select}])
-        cond = reduce(lambda a, c: a & c,
-                      [F.col(lc) == F.col(f"__rj_{rj.alias}_{rc}") for lc, rc in rj.on])
-        root = root.join(right, cond, rj.how).select(
-            *root_cols, *[F.col(f"__rj_{rj.alias}_{s}").alias(new) for s, new in rj.select])
-
-    # Join order: first the branches keyed by the column the root is already
-    # partitioned on (a root join's key), then N:1 lookups (narrow root,
-    # usually broadcast), then the id-keyed branches - so each distinct key
-    # shuffles the root at most once.
-    ordered = sorted(spec.branches, key=lambda b: _join_rank(spec, b))
-    taken = set(root.columns)
-    for b in ordered:
-        agg = prebuilt.get(b.name)
-        if agg is None:
-            agg = build_branch(cat, b, o.case_insensitive)
-        clash = (set(agg.columns) - {key_col(b)}) & taken
-        if clash:
-            raise LabelCollision(f"branch {b.name!r} output clashes with {sorted(clash)}")
-        taken |= set(agg.columns)
-        root = root.join(agg, F.col(b.root_ref) == F.col(key_col(b)), "left").drop(key_col(b))
+        right = cat[rj.table].select(
+            *[F.col(rc).alias(f"__on_{rc}") for _, rc in rj.on],
+            *[F.col(src).alias(new) for src, new in rj.select])
+        theirs = [b for b in left if b.root_ref in {new for _, new in rj.select}]
+        left = [b for b in left if b not in theirs]
+        right = with_branches(right, sorted(theirs, key=lambda b: b.root_ref))
+        cond = reduce(lambda a, c: a & c, [F.col(lc) == F.col(f"__on_{rc}") for lc, rc in rj.on])
+        root = root.join(right, cond, rj.how).drop(*[f"__on_{rc}" for _, rc in rj.on])
+    root = with_branches(root, sorted(left, key=lambda b: b.root_ref == "id"))
 
     if spec.legacy_dup is not None:
         # kept only for the rows it repeats: selects nothing
         d = spec.legacy_dup
         dup = cat[d.table]
         for c, v in d.where:
-            dup = dup.where(F.col(c) == F.lit(v))
+            dup = dup.where(constant_is(F.col(c), v, o.case_insensitive))
         dup = dup.select(F.col(d.key).alias("__dup_k"))
         root = root.join(dup, F.col(d.root_ref) == F.col("__dup_k"), "left").drop("__dup_k")
 
@@ -118,7 +110,8 @@ def assemble(cat: Catalogue, spec: DocSpec, options: Options | None = None,
     exprs: dict[str, Column] = {}
     for b in spec.branches:
         for out in b.outs:
-            c = F.col(flat_name(out.label))
+            c = F.col(f"__f_{flat_name(out.label)}") if not out.label.startswith("__") \
+                else F.col(out.label)
             # a count over no rows is 0, not NULL
             exprs[out.label] = F.coalesce(c, F.lit(0).cast("long")) if out.agg == "count_distinct" else c
         if b.exists_label:
@@ -126,14 +119,13 @@ def assemble(cat: Catalogue, spec: DocSpec, options: Options | None = None,
         if b.kind == "scores":
             for name, _ in b.devices:
                 lab = f"{b.label_prefix}.{name}"
-                exprs[lab] = F.col(flat_name(lab))
+                exprs[lab] = checked(b, F.col(f"__f_{flat_name(lab)}"))
         if b.kind == "restriction":
             mode = o.dates if (b.dates_mode == "doc" and spec.grouped) else "clean"
             times = _product([_factor(x) for x in fan if x is not b]) if mode == "exact" else None
-            rows = F.col(rows_col(b))
             exprs["restrict.type"] = F.col(type_col(b))
-            exprs["restrict.country_code[]"] = ordered_distinct(rows, "v", "o")
-            exprs["restrict.date[]"] = expand_multiset(rows, "d", times)
+            exprs["restrict.country_code[]"] = ordered_values(F.col(countries_col(b)))
+            exprs["restrict.date[]"] = multiset(F.col(dates_col(b)), times)
 
     labels, cols = [], []
     for f in spec.fields:
@@ -155,7 +147,8 @@ def assemble(cat: Catalogue, spec: DocSpec, options: Options | None = None,
         cols.append(e)
 
     names = [flat_name(lab) for lab in labels]
-    dupes = sorted({n for n in names if names.count(n) > 1})
+    lower = [n.lower() for n in names]  # Spark, like the target, ignores case
+    dupes = sorted({n for n in names if lower.count(n.lower()) > 1})
     if dupes:
         raise LabelCollision(f"{spec.doc}: duplicate output fields {dupes}")
     out = [c.alias(n) for c, n in zip(cols, names)]

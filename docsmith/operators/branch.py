@@ -7,8 +7,8 @@ Output columns of ``build_branch``:
   the multiplication inside a join chain included - the factor this branch
   contributed to the original many-way join;
 * one column per ``Out`` (named by the flat label), or for restriction
-  branches the compressed ``__rows_<name>`` (date text, date, country, times)
-  and ``__type_<name>``.
+  branches ``__dates_<name>`` (date text, rows), ``__countries_<name>`` (country,
+  first date) and ``__type_<name>``.
 
 Every aggregation below is partial (map-side) first, so a key that holds a
 large share of the rows is combined before the shuffle.  Lists stay
@@ -27,9 +27,15 @@ from ..plans.model import Branch, flat_name
 from ..sources.catalogue import Catalogue
 
 
+OWN = "own"  # prefix of the branch table's own columns
+
+
+def table_of(ref: str) -> str:
+    return ref.rpartition(".")[0] or OWN
+
+
 def col_name(ref: str) -> str:
-    alias, col = ref.split(".", 1)
-    return f"{alias}__{col}"
+    return f"{table_of(ref)}__{ref.rpartition('.')[2]}"
 
 
 def key_col(b: Branch) -> str:
@@ -40,8 +46,12 @@ def n_col(b: Branch) -> str:
     return f"__n_{b.name}"
 
 
-def rows_col(b: Branch) -> str:
-    return f"__rows_{b.name}"
+def dates_col(b: Branch) -> str:
+    return f"__dates_{b.name}"
+
+
+def countries_col(b: Branch) -> str:
+    return f"__countries_{b.name}"
 
 
 def type_col(b: Branch) -> str:
@@ -49,11 +59,11 @@ def type_col(b: Branch) -> str:
 
 
 def _refs(b: Branch) -> list[str]:
-    refs = [f"{b.alias}.{b.key}"] + [f"{b.alias}.{c}" for c, _ in b.where]
+    refs = [b.key] + [c for c, _ in b.where]
     for j in b.joins:
         refs += [left for left, _ in j.on]
-        refs += [f"{j.alias}.{r}" for _, r in j.on]
-        refs += [f"{j.alias}.{c}" for c, _ in j.where]
+        refs += [f"{j.table}.{r}" for _, r in j.on]
+        refs += [f"{j.table}.{c}" for c, _ in j.where]
     refs += [o.ref for o in b.outs]
     refs += [r for r in (b.type_ref, b.country_ref, b.date_ref, b.value_ref, b.device_ref) if r]
     return refs
@@ -62,10 +72,10 @@ def _refs(b: Branch) -> list[str]:
 def _needed(b: Branch) -> dict[str, list[str]]:
     need: dict[str, list[str]] = {}
     for r in _refs(b):
-        alias, col = r.split(".", 1)
-        need.setdefault(alias, [])
-        if col not in need[alias]:
-            need[alias].append(col)
+        table, col = table_of(r), r.rpartition(".")[2]
+        need.setdefault(table, [])
+        if col not in need[table]:
+            need[table].append(col)
     return need
 
 
@@ -96,16 +106,24 @@ class Kinds:
         return F.create_map(*pairs)[kind]
 
 
-def _table(cat: Catalogue, table: str, alias: str, where: tuple, cols: list[str],
-           skip: set = frozenset()) -> DataFrame:
+def constant_is(col: Column, value, fold_case: bool) -> Column:
+    """``col = value``; for text without regard to case if asked."""
+    if fold_case and isinstance(value, str):
+        return F.lower(col) == F.lit(value.lower())
+    return col == F.lit(value)
+
+
+def _table(cat: Catalogue, table: str, prefix: str, where: tuple, cols: list[str],
+           fold_case: bool, skip: set = frozenset()) -> DataFrame:
     df = cat[table]
     for c, v in where:
         if c not in skip:
-            df = df.where(F.col(c) == F.lit(v))
-    return df.select([F.col(c).alias(f"{alias}__{c}") for c in cols])
+            df = df.where(constant_is(F.col(c), v, fold_case))
+    return df.select([F.col(c).alias(f"{prefix}__{c}") for c in cols])
 
 
-def joined_rows(cat: Catalogue, b: Branch, fold: bool = False, kinds: Kinds | None = None) -> DataFrame:
+def joined_rows(cat: Catalogue, b: Branch, fold: bool = False, kinds: Kinds | None = None,
+                fold_case: bool = False) -> DataFrame:
     """The branch's rows before aggregation: the branch table (filtered on
     its constants) joined with its dimensions, one row per joined row.
 
@@ -119,49 +137,49 @@ def joined_rows(cat: Catalogue, b: Branch, fold: bool = False, kinds: Kinds | No
     if kinds is not None:
         if not b.kind_cols:
             raise ValueError(f"branch {b.name!r} has no media-type column to share on")
-        for alias, kc in [(b.alias, b.kind_cols)] + [(j.alias, j.kind_cols) for j in b.joins]:
+        for table, kc in [(OWN, b.kind_cols)] + [(j.table, j.kind_cols) for j in b.joins]:
             for c, _ in kc:
-                need.setdefault(alias, [])
-                if c not in need[alias]:
-                    need[alias].append(c)
+                need.setdefault(table, [])
+                if c not in need[table]:
+                    need[table].append(c)
     skip = {c for c, _ in b.kind_cols} if kinds is not None else set()
-    df = _table(cat, b.table, b.alias, b.where, need[b.alias], skip)
-    df = df.where(F.col(col_name(f"{b.alias}.{b.key}")).isNotNull())
+    df = _table(cat, b.table, OWN, b.where, need[OWN], fold_case, skip)
+    df = df.where(F.col(col_name(b.key)).isNotNull())
     if kinds is not None:
         c, form = b.kind_cols[0]
-        df = df.withColumn(KIND, kinds.to_id(F.col(f"{b.alias}__{c}"), form)).where(
+        df = df.withColumn(KIND, kinds.to_id(F.col(f"{OWN}__{c}"), form)).where(
             F.col(KIND).isNotNull())
     weight = F.lit(1).cast("long")
     folded: set = set()
     for j in b.joins:
         jskip = {c for c, _ in j.kind_cols} if kinds is not None else set()
-        right = _table(cat, j.table, j.alias, j.where, need.get(j.alias, []), jskip)
+        right = _table(cat, j.table, j.table, j.where, need.get(j.table, []), fold_case, jskip)
         for left, _ in j.on:
-            if left.split(".", 1)[0] in folded:
+            if table_of(left) in folded:
                 raise ValueError(f"branch {b.name!r}: cannot join on folded table {left!r}")
-        conds = [F.col(col_name(left)) == F.col(f"{j.alias}__{r}") for left, r in j.on]
+        conds = [F.col(col_name(left)) == F.col(f"{j.table}__{r}") for left, r in j.on]
         if kinds is not None:
-            conds += [F.col(f"{j.alias}__{c}") == kinds.from_id(F.col(KIND), form)
+            conds += [F.col(f"{j.table}__{c}") == kinds.from_id(F.col(KIND), form)
                       for c, form in j.kind_cols]
         cond = reduce(lambda a, c: a & c, conds)
         if fold and j.fold:
-            keys = [f"{j.alias}__{r}" for _, r in j.on] + [f"{j.alias}__{c}" for c in jskip]
+            keys = [f"{j.table}__{r}" for _, r in j.on] + [f"{j.table}__{c}" for c in jskip]
             vals = [c for c in right.columns if c not in keys]
-            right = right.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"__jn_{j.alias}"),
+            right = right.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"__jn_{j.table}"),
                                              *[F.collect_set(c).alias(c) for c in vals])
-            weight = weight * F.coalesce(F.col(f"__jn_{j.alias}"), F.lit(1).cast("long"))
-            folded.add(j.alias)
+            weight = weight * F.coalesce(F.col(f"__jn_{j.table}"), F.lit(1).cast("long"))
+            folded.add(j.table)
         df = df.join(right, cond, j.how)
     if fold:
         df = df.withColumn("__w", weight)
     return df
 
 
-def folded_aliases(b: Branch) -> set:
-    return {j.alias for j in b.joins if j.fold}
+def folded_tables(b: Branch) -> set:
+    return {j.table for j in b.joins if j.fold}
 
 
-def _out_agg(o, fold_case: bool, dtype: str | None = None) -> Column:
+def _out_agg(o, fold_case: bool) -> Column:
     c = F.col(col_name(o.ref))
     if o.agg == "distinct":
         return collect_distinct(c, fold_case).alias(flat_name(o.label))
@@ -170,10 +188,6 @@ def _out_agg(o, fold_case: bool, dtype: str | None = None) -> Column:
     if o.agg == "count_distinct":
         return F.countDistinct(c).alias(flat_name(o.label))
     if o.agg in ("any", "any_list"):
-        if dtype == "string":
-            # min of the distinct values: same result as min(), but a string
-            # min cannot use the hash aggregate and would sort instead
-            return F.array_min(F.collect_set(c)).alias(flat_name(o.label))
         return F.min(c).alias(flat_name(o.label))
     raise ValueError(f"unknown aggregate {o.agg!r}")
 
@@ -196,31 +210,31 @@ def build_branch(cat: Catalogue, b: Branch, case_insensitive: bool = False,
                  kinds: Kinds | None = None) -> DataFrame:
     """One row per key (per (``__kind``, key) with ``kinds``)."""
     if b.kind == "restriction":
-        return _build_restriction(cat, b, kinds)
+        return _build_restriction(cat, b, kinds, case_insensitive)
     if b.kind == "scores":
         from .lookup import score_pivot
         return score_pivot(cat, b)
     extra = [KIND] if kinds is not None else []
-    k = F.col(col_name(f"{b.alias}.{b.key}")).alias(key_col(b))
+    k = F.col(col_name(b.key)).alias(key_col(b))
     only_count_distinct = len(b.outs) == 1 and b.outs[0].agg == "count_distinct"
     if only_count_distinct:
         # Two-level form of COUNT(DISTINCT): (key, value) pairs first, so a hot
         # key never holds its distinct values in one in-memory set.
-        rows = joined_rows(cat, b, kinds=kinds)
+        rows = joined_rows(cat, b, kinds=kinds, fold_case=case_insensitive)
         o = b.outs[0]
         v = F.col(col_name(o.ref))
         pairs = rows.groupBy(*extra, k, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
         return pairs.groupBy(*extra, key_col(b)).agg(
             F.sum("__c").alias(n_col(b)),
             F.count("__v").alias(flat_name(o.label)))
-    if folded_aliases(b):
+    if folded_tables(b):
         return _build_folded(cat, b, case_insensitive, kinds)
-    rows = joined_rows(cat, b, kinds=kinds)
+    rows = joined_rows(cat, b, kinds=kinds, fold_case=case_insensitive)
     # Only text values are folded case-insensitively.
     types = dict(rows.dtypes)
     fold = {o.label: case_insensitive and types.get(col_name(o.ref)) == "string" for o in b.outs}
     aggs = [F.count(F.lit(1)).alias(n_col(b))]
-    aggs += [_out_agg(o, fold[o.label], types.get(col_name(o.ref))) for o in b.outs]
+    aggs += [_out_agg(o, fold[o.label]) for o in b.outs]
     agg = rows.groupBy(*extra, k).agg(*aggs)
     return agg.select(*extra, key_col(b), n_col(b), *[_out_finish(o, fold[o.label]) for o in b.outs])
 
@@ -233,16 +247,16 @@ def _build_folded(cat: Catalogue, b: Branch, case_insensitive: bool,
     set of sets (identical sets collapse on the map side), flattened and
     de-duplicated at the end.  The row count is the sum of the weights, i.e.
     what the unfolded join would have produced."""
-    rows = joined_rows(cat, b, fold=True, kinds=kinds)
+    rows = joined_rows(cat, b, fold=True, kinds=kinds, fold_case=case_insensitive)
     extra = [KIND] if kinds is not None else []
-    folded = folded_aliases(b)
+    folded = folded_tables(b)
     types = dict(rows.dtypes)
-    k = F.col(col_name(f"{b.alias}.{b.key}")).alias(key_col(b))
+    k = F.col(col_name(b.key)).alias(key_col(b))
     aggs = [F.sum("__w").alias(n_col(b))]
     finish = []
     for o in b.outs:
         name = flat_name(o.label)
-        if o.ref.split(".", 1)[0] in folded:
+        if table_of(o.ref) in folded:
             if o.agg not in ("distinct", "distinct_text"):
                 raise ValueError(f"{o.label}: only distinct lists can come from a folded table")
             aggs.append(F.collect_set(F.col(col_name(o.ref))).alias(name))
@@ -257,29 +271,49 @@ def _build_folded(cat: Catalogue, b: Branch, case_insensitive: bool,
                 finish.append(finish_distinct(merged, ci).alias(name))
         else:
             ci = case_insensitive and types.get(col_name(o.ref)) == "string"
-            aggs.append(_out_agg(o, ci, types.get(col_name(o.ref))))
+            aggs.append(_out_agg(o, ci))
             finish.append(_out_finish(o, ci))
     agg = rows.groupBy(*extra, k).agg(*aggs)
     return agg.select(*extra, key_col(b), n_col(b), *finish)
 
 
-def _build_restriction(cat: Catalogue, b: Branch, kinds: Kinds | None = None) -> DataFrame:
-    """Restriction rows (1:N) compressed to one row per key:
-    ``__rows`` = list of (date text, date, country, times) and the row count.
+def _build_restriction(cat: Catalogue, b: Branch, kinds: Kinds | None = None,
+                       case_insensitive: bool = False) -> DataFrame:
+    """Restriction rows (1:N), one row per key: dates with their number of rows,
+    countries with their first date, the type and the row count.
 
-    Level 1 folds identical (key, date, country, type) rows on the map side;
-    level 2 gathers what is left per key."""
-    rows = joined_rows(cat, b, kinds=kinds)
+    Level 1 folds identical (key, date, country, type) rows on the map side.
+    Level 2 folds them per (key, date) and per (key, country), which spreads a
+    hot key over its dates and countries; only distinct dates and distinct
+    countries, which the document carries, meet at the key."""
+    rows = joined_rows(cat, b, kinds=kinds, fold_case=case_insensitive)
     extra = [KIND] if kinds is not None else []
-    key = F.col(col_name(f"{b.alias}.{b.key}"))
-    date = F.col(col_name(b.date_ref))
+    keys = [*extra, key_col(b)]
     country = F.col(col_name(b.country_ref))
-    rtype = F.col(col_name(b.type_ref))
-    # all grouping, fixed-width buffer: a hash aggregate, no sort
-    lvl1 = rows.groupBy(*extra, key.alias(key_col(b)), date.alias("o"), country.alias("v"),
-                        rtype.alias("t")).agg(F.count(F.lit(1)).alias("n"))
-    return lvl1.groupBy(*extra, key_col(b)).agg(
-        F.sum("n").alias(n_col(b)),
-        F.min("t").alias(type_col(b)),
-        F.collect_list(F.struct(F.col("o").cast("string").alias("d"), F.col("o"), F.col("v"),
-                                F.col("n"))).alias(rows_col(b)))
+    folded = F.lower(country) if case_insensitive else country
+    lvl1 = rows.groupBy(*extra, F.col(col_name(b.key)).alias(key_col(b)),
+                        F.col(col_name(b.date_ref)).alias("o"), folded.alias("c"), country.alias("v"),
+                        F.col(col_name(b.type_ref)).alias("t")).agg(F.count(F.lit(1)).alias("n"))
+    by_date = lvl1.groupBy(*keys, "o").agg(F.sum("n").alias("n"), F.min("t").alias("t"))
+    by_country = lvl1.where(F.col("c").isNotNull()).groupBy(*keys, "c").agg(
+        F.min("o").alias("o"), F.min("v").alias("v"))
+    # a missing field makes no entry of the other list
+    dates = by_date.select(*keys, "n", "t", F.when(F.col("o").isNotNull(), F.struct(
+        F.col("o").cast("string").alias("date"), F.col("n").alias("times"))).alias("d"),
+        F.lit(None).cast(_country_type(by_country)).alias("first"))
+    countries = by_country.select(*keys, F.lit(None).cast("long").alias("n"),
+                                  F.lit(None).cast("string").alias("t"),
+                                  F.lit(None).cast("struct<date:string,times:bigint>").alias("d"),
+                                  _first_date(by_country).alias("first"))
+    return dates.unionByName(countries).groupBy(*keys).agg(
+        F.sum("n").alias(n_col(b)), F.min("t").alias(type_col(b)),
+        F.collect_list("d").alias(dates_col(b)), F.collect_list("first").alias(countries_col(b)))
+
+
+def _first_date(df: DataFrame) -> Column:
+    """Sort key of a country: those without any date come last."""
+    return F.struct(F.col("o").isNull().alias("undated"), F.col("o").alias("o"), F.col("v").alias("v"))
+
+
+def _country_type(df: DataFrame):
+    return df.select(_first_date(df).alias("x")).schema["x"].dataType

@@ -7,7 +7,8 @@ it is a parameter with a stand-in default.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+import json
+from dataclasses import dataclass, field, fields, replace
 
 
 # Fixed stand-in values (the original configuration is not published).
@@ -61,14 +62,25 @@ class Params:
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)
 
+    @classmethod
+    def from_json(cls, path: str) -> "Params":
+        """Parameters from a JSON file; what it leaves out keeps its default."""
+        with open(path) as f:
+            given = json.load(f)
+        unknown = sorted(set(given) - {x.name for x in fields(cls)})
+        if unknown:
+            raise ValueError(f"unknown parameters {unknown}")
+        if "devices" in given:
+            given["devices"] = tuple((str(n), int(d)) for n, d in given["devices"])
+        return cls(**given)
+
 
 @dataclass(frozen=True)
 class Options:
     """Behaviour switches: corrected by default, original behaviour on request."""
 
-    # "exact": the date list repeats each date once per combination of the
-    # other joined relations, as the original many-way join did.
-    # "clean": one entry per restriction row.
+    # "exact": a date counts once per combination of the other joined relations,
+    # as in the original many-way join.  "clean": once per restriction row.
     dates: str = "exact"
     # Songs: match artists/genres on the album id (original) or the song id.
     song_match: str = "album_id"
@@ -78,12 +90,11 @@ class Options:
     legacy_rows: bool = False
     # Albums: reproduce the licensor join that never matched.
     legacy_licensor: bool = False
-    # Case-insensitive distinct lists (MySQL's usual collation).
+    # Case-insensitive lists, constants and countries (MySQL's usual collation).
     case_insensitive: bool = False
-    # Probe the root's smallest and largest id (one small aggregate) and use
-    # them as a key range: Catalyst pushes it into every scan keyed by the
-    # item, so relation rows of ids outside the root are never aggregated.
-    key_bounds: bool = True
+    # A root column with the name of a computed field is replaced by it; by
+    # default it is an error.
+    override: bool = False
 
     def __post_init__(self):
         if self.dates not in ("exact", "clean"):

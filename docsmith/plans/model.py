@@ -6,21 +6,20 @@ to, a 1:N child table, or an N:1 lookup).  Each branch is aggregated to one
 row per key before it meets the root, so the cost of a document grows with
 the sum of its relations, not with their product.
 
-References inside a branch are ``"alias.column"`` strings: the branch table
-has its own alias, and every joined table adds one.
+References inside a branch are ``"column"`` for the branch table and
+``"table.column"`` for a joined one; no table occurs twice in a branch.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
 class Join:
     """Left (or inner) join of another table into a branch."""
     table: str
-    alias: str
-    on: tuple            # ((left "alias.col", right col), ...)
+    on: tuple            # ((left reference, right col), ...)
     where: tuple = ()    # ((right col, constant), ...) applied to the right side
     how: str = "left"
     # fold=True: the right side has 0..n rows per join key.  It is first
@@ -49,14 +48,13 @@ class Out:
 class Branch:
     name: str
     table: str
-    alias: str
     key: str                      # branch column matched against the root
     root_ref: str = "id"          # root column it is matched with
     where: tuple = ()             # ((col, constant), ...) on the branch table
     joins: tuple = ()
     outs: tuple = ()
     fanout: bool = True           # counts in the original join multiplicity
-    kind: str = "list"            # list | restriction | exists | scores
+    kind: str = "list"            # list | restriction | scores
     exists_label: str | None = None
     # restriction branches: field references
     type_ref: str | None = None
@@ -79,7 +77,6 @@ class Branch:
 class RootJoin:
     """Inner/left join that widens the root itself (songs: the album)."""
     table: str
-    alias: str
     on: tuple                     # ((root col, right col), ...)
     select: tuple                 # ((right col, new root col), ...)
     how: str = "inner"
@@ -98,13 +95,8 @@ class DocSpec:
     text_fields: tuple = ()       # ((label, root col), ...): a root value as text
     grouped: bool = True          # False: no GROUP BY in the original (songs)
     legacy_dup: Branch | None = None   # join kept only for its row multiplication
-    mapping: dict = field(default_factory=dict)
 
 
 def flat_name(label: str) -> str:
     """Flat column name of a document label: ``people.author[]`` -> ``people_author``."""
     return label.replace("[]", "").replace(".", "_")
-
-
-def is_list_label(label: str) -> bool:
-    return label.endswith("[]")

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import ArrayType, StructType
 
 from ..functions.lists import as_text
 from ..operators.assemble import Document
@@ -59,13 +59,15 @@ def comparable(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, ArrayType):
-            cols.append(as_text(F.col(f.name)).alias(f.name))
+            pairs = isinstance(f.dataType.elementType, StructType)
+            cols.append(as_text(F.col(f.name), pairs).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
 
 
 def as_json(doc: Document) -> DataFrame:
-    """``_id`` and the nested document as JSON text."""
+    """``_id`` and the nested document as JSON text; NULL fields are kept."""
     n = nested(doc)
-    return n.select(F.col("_id"), F.to_json(F.struct(*[F.col(c) for c in n.columns])).alias("doc"))
+    whole = F.struct(*[F.col(c) for c in n.columns])
+    return n.select(F.col("_id"), F.to_json(whole, {"ignoreNullFields": "false"}).alias("doc"))

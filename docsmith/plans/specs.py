@@ -70,38 +70,38 @@ def fields_for(doc: str, p: Params, kind: str, sources: dict | None = None,
 def restriction(p: Params, kind: str, key: str = "media_id", root_ref: str = "id",
                 fanout: bool = True, dates_mode: str = "doc") -> Branch:
     return Branch(
-        name="restrict", table=p.geo_restrict_table, alias="mgr", key=key, root_ref=root_ref,
+        name="restrict", table=p.geo_restrict_table, key=key, root_ref=root_ref,
         where=(("status", "active"), ("media_type", p.media_id(kind))),
-        kind="restriction", type_ref="mgr.restrict_type", country_ref="mgr.country_code",
-        date_ref="mgr.date_start", fanout=fanout, dates_mode=dates_mode,
+        kind="restriction", type_ref="restrict_type", country_ref="country_code",
+        date_ref="date_start", fanout=fanout, dates_mode=dates_mode,
         kind_cols=(("media_type", "id"),))
 
 
 def content_filters(p: Params, kind: str, site_ids_as_text: bool) -> Branch:
     return Branch(
-        name="filters", table="content_filters_medias", alias="cfm", key="media_id",
+        name="filters", table="content_filters_medias", key="media_id",
         where=(("media_type", p.media_name(kind)),),
         joins=(
-            Join("content_filters", "cf", (("cfm.filter_id", "id"),)),
+            Join("content_filters", (("filter_id", "id"),)),
             # chained on the filter actually found: a dangling filter id has no
             # site exclusions.  Folded per filter, so the (filter rows x sites)
             # product is never materialised.
-            Join("site_content_filter_exclusions", "scfe", (("cf.id", "content_filter_id"),),
+            Join("site_content_filter_exclusions", (("content_filters.id", "content_filter_id"),),
                  where=(("media_type_id", p.media_id(kind)),), fold=True,
                  kind_cols=(("media_type_id", "id"),)),
         ),
         kind_cols=(("media_type", "name"),),
-        outs=(Out("content_segments[]", "cf.name"),
-              Out("site_exclusion_id[]", "scfe.site_id",
+        outs=(Out("content_segments[]", "content_filters.name"),
+              Out("site_exclusion_id[]", "site_content_filter_exclusions.site_id",
                   "distinct_text" if site_ids_as_text else "distinct")))
 
 
 def languages(p: Params, kind: str) -> Branch:
     return Branch(
-        name="languages", table="media_language", alias="ml", key="media_id",
+        name="languages", table="media_language", key="media_id",
         where=(("media_type", p.media_name(kind)),),
-        joins=(Join("ma_language", "mal", (("ml.language_id", "id"),)),),
-        outs=(Out("languages[]", "mal.name"),),
+        joins=(Join("ma_language", (("language_id", "id"),)),),
+        outs=(Out("languages[]", "ma_language.name"),),
         kind_cols=(("media_type", "name"),))
 
 
@@ -110,24 +110,24 @@ def licensor(p: Params, media_name: str) -> Branch:
     # licensor can never repeat a document; its row count still enters the
     # join multiplicity.
     return Branch(
-        name="licensor", table="licensors", alias="l", key="id", root_ref="licensor_id",
+        name="licensor", table="licensors", key="id", root_ref="licensor_id",
         where=(("media_type", media_name),),
-        outs=(Out("licensor_status", "l.status", "any"), Out("is_public", "l.is_public", "any")))
+        outs=(Out("licensor_status", "status", "any"), Out("is_public", "is_public", "any")))
 
 
 def scores(p: Params, kind: str) -> Branch:
     return Branch(
-        name="scores", table=p.score_tables[kind], alias="mss", key="id", kind="scores",
-        devices=tuple(p.devices), value_ref="mss.total_score", device_ref="mss.device_type_id",
+        name="scores", table=p.score_tables[kind], key="id", kind="scores",
+        devices=tuple(p.devices), value_ref="total_score", device_ref="device_type_id",
         fanout=False)
 
 
-def people(name: str, bridge: str, alias: str, key: str, ref_col: str, dim: str,
+def people(name: str, bridge: str, key: str, ref_col: str, dim: str,
            label: str, how: str = "left") -> Branch:
     return Branch(
-        name=name, table=bridge, alias=alias, key=key,
-        joins=(Join(dim, "d", ((f"{alias}.{ref_col}", "id"),), how=how),),
-        outs=(Out(label, "d.name"),))
+        name=name, table=bridge, key=key,
+        joins=(Join(dim, ((ref_col, "id"),), how=how),),
+        outs=(Out(label, f"{dim}.name"),))
 
 
 def subquery(b: Branch, root_ref: str) -> Branch:
@@ -150,9 +150,9 @@ def book(p: Params, o: Options) -> DocSpec:
         fields=fields_for("book", p, "book"),
         branches=(
             licensor(p, p.media_name("book")),
-            people("authors", "book_authors", "bau", "book_id", "author_id", "author", "people.author[]"),
-            people("artists", "book_artists", "bar", "book_id", "artist_id", "artists", "people.artist[]"),
-            people("genres", "book_genres", "bg", "book_id", "genre_id", "genre_book", "genre[]"),
+            people("authors", "book_authors", "book_id", "author_id", "author", "people.author[]"),
+            people("artists", "book_artists", "book_id", "artist_id", "artists", "people.artist[]"),
+            people("genres", "book_genres", "book_id", "genre_id", "genre_book", "genre[]"),
             restriction(p, "book"),
             content_filters(p, "book", site_ids_as_text=False),
             languages(p, "book"),
@@ -167,17 +167,17 @@ def album(p: Params, o: Options) -> DocSpec:
         fields=fields_for("album", p, "music"),
         branches=(
             licensor(p, lic_name),
-            Branch(name="provider", table="data_source_provider", alias="dsp", key="id",
+            Branch(name="provider", table="data_source_provider", key="id",
                    root_ref="data_source_provider_id",
-                   outs=(Out("data_source_provider_name", "dsp.name", "any"),)),
-            Branch(name="label", table="music_label", alias="lab", key="id", root_ref="label_id",
-                   outs=(Out("labelName[]", "lab.name", "any_list"),)),
-            people("artists", "music_album_artists", "maa", "album_id", "artist_id", "music_artist",
+                   outs=(Out("data_source_provider_name", "name", "any"),)),
+            Branch(name="label", table="music_label", key="id", root_ref="label_id",
+                   outs=(Out("labelName[]", "name", "any_list"),)),
+            people("artists", "music_album_artists", "album_id", "artist_id", "music_artist",
                    "people.artist[]"),
-            people("genres", "music_album_genres", "mag", "album_id", "genre_id", "genre_music",
+            people("genres", "music_album_genres", "album_id", "genre_id", "genre_music",
                    "genre[]"),
-            Branch(name="songs", table="music", alias="s", key="album_id",
-                   outs=(Out("song_count", "s.id", "count_distinct"),)),
+            Branch(name="songs", table="music", key="album_id",
+                   outs=(Out("song_count", "id", "count_distinct"),)),
             restriction(p, "music"),
             content_filters(p, "music", site_ids_as_text=False),
             languages(p, "music"),
@@ -191,18 +191,18 @@ def movie(p: Params, o: Options) -> DocSpec:
         fields=fields_for("movie", p, "movie"),
         branches=(
             licensor(p, p.media_name("movie")),
-            people("actors", "movie_actors", "ma", "movie_id", "actor_id", "actors", "people.actor[]"),
-            people("directors", "movie_directors", "md", "movie_id", "director_id", "directors",
+            people("actors", "movie_actors", "movie_id", "actor_id", "actors", "people.actor[]"),
+            people("directors", "movie_directors", "movie_id", "director_id", "directors",
                    "people.director[]"),
-            people("producers", "movie_producers", "mp", "movie_id", "producer_id", "producers",
+            people("producers", "movie_producers", "movie_id", "producer_id", "producers",
                    "people.producer[]"),
-            people("writers", "movie_writers", "mw", "movie_id", "writer_id", "writers",
+            people("writers", "movie_writers", "movie_id", "writer_id", "writers",
                    "people.writer[]"),
-            people("genres", "movie_genres", "mg", "movie_id", "genre_id", "genre_movie", "genre[]"),
-            Branch(name="video", table="brightcove", alias="bc", key="id",
+            people("genres", "movie_genres", "movie_id", "genre_id", "genre_movie", "genre[]"),
+            Branch(name="video", table="brightcove", key="id",
                    where=(("status", "active"),),
-                   outs=(Out("brightcove_id", "bc.brightcove_id", "any"),
-                         Out("non_drm_brightcove_id", "bc.non_drm_brightcove_id", "any"))),
+                   outs=(Out("brightcove_id", "brightcove_id", "any"),
+                         Out("non_drm_brightcove_id", "non_drm_brightcove_id", "any"))),
             restriction(p, "movie"),
             content_filters(p, "movie", site_ids_as_text=False),
             languages(p, "movie"),
@@ -216,17 +216,17 @@ def game(p: Params, o: Options) -> DocSpec:
         fields=fields_for("game", p, "game"),
         branches=(
             licensor(p, p.media_name("game")),
-            Branch(name="developer", table="developer", alias="de", key="id", root_ref="developer_id",
-                   outs=(Out("people.developer[]", "de.name"),)),
-            people("genres", "game_genres", "gg", "game_id", "genre_id", "genre", "genre[]"),
+            Branch(name="developer", table="developer", key="id", root_ref="developer_id",
+                   outs=(Out("people.developer[]", "name"),)),
+            people("genres", "game_genres", "game_id", "genre_id", "genre", "genre[]"),
             # the flag counts a category row even when its fields are NULL
-            Branch(name="yummy", table="game_yummy", alias="gy", key="game_id", kind="list",
+            Branch(name="yummy", table="game_yummy", key="game_id", kind="list",
                    exists_label="is_yummy",
-                   outs=(Out("category.name[]", "gy.CategoryName"), Out("category.os[]", "gy.OS"))),
-            Branch(name="types", table="game_types", alias="gt", key="game_id",
-                   joins=(Join("types", "ts", (("gt.type_id", "id"),)),),
-                   outs=(Out("game_type[]", "gt.type_id", "distinct_text"),
-                         Out("game_type_name[]", "ts.name"))),
+                   outs=(Out("category.name[]", "CategoryName"), Out("category.os[]", "OS"))),
+            Branch(name="types", table="game_types", key="game_id",
+                   joins=(Join("types", (("type_id", "id"),)),),
+                   outs=(Out("game_type[]", "type_id", "distinct_text"),
+                         Out("game_type_name[]", "types.name"))),
             restriction(p, "game"),
             content_filters(p, "game", site_ids_as_text=True),
             languages(p, "game"),
@@ -242,11 +242,11 @@ def software(p: Params, o: Options) -> DocSpec:
         branches=(
             licensor(p, p.media_name("software")),
             # one dimension table under two roles
-            people("types", "software_types", "sts", "software_id", "type_id", "software_type",
+            people("types", "software_types", "software_id", "type_id", "software_type",
                    "people.softwareType[]"),
-            people("platforms", "software_software_type", "sst", "software_id", "software_type_id",
+            people("platforms", "software_software_type", "software_id", "software_type_id",
                    "software_type", "software_platform[]"),
-            people("genres", "software_software_category", "ssc", "software_id",
+            people("genres", "software_software_category", "software_id",
                    "software_category_id", "software_category", "genre[]"),
             restriction(p, "software"),
             content_filters(p, "software", site_ids_as_text=True),
@@ -260,7 +260,7 @@ def song(p: Params, o: Options) -> DocSpec:
     ca_label = "restrict.song.contry_code[]" if o.legacy_labels else "restrict.song.country_code[]"
     legacy = None
     if o.legacy_rows:
-        legacy = Branch(name="dup_scores", table=p.score_tables["music"], alias="mss", key="id",
+        legacy = Branch(name="dup_scores", table=p.score_tables["music"], key="id",
                         root_ref="__album_id", where=(("device_type_id", p.default_device_id),))
     return DocSpec(
         doc="song", root="music", kind="music", key_style="concat_ws",
@@ -271,22 +271,22 @@ def song(p: Params, o: Options) -> DocSpec:
                            "album_title": "@__album_title"},
                           {"restrict.song.country_code[]": ca_label}),
         root_joins=(
-            RootJoin("music_album", "ma", (("album_id", "id"),),
+            RootJoin("music_album", (("album_id", "id"),),
                      (("id", "__album_id"), ("title", "__album_title"),
                       ("data_source_provider_id", "__provider_id"))),
         ),
         branches=(
-            Branch(name="provider", table="data_source_provider", alias="dsp", key="id",
+            Branch(name="provider", table="data_source_provider", key="id",
                    root_ref="__provider_id", fanout=False,
-                   outs=(Out("__provider_name", "dsp.name", "any"),)),
+                   outs=(Out("__provider_name", "name", "any"),)),
             restriction(p, "music", root_ref="__album_id", fanout=False, dates_mode="clean"),
-            subquery(people("artists", "music_song_artists", "msa", "music_id", "artist_id", "music_artist",
+            subquery(people("artists", "music_song_artists", "music_id", "artist_id", "music_artist",
                    "people.artist[]", how="inner"), match),
-            subquery(people("genres", "music_genres", "mgen", "music_id", "genre_id", "genre_music",
+            subquery(people("genres", "music_genres", "music_id", "genre_id", "genre_music",
                    "genre[]", how="inner"), match),
-            Branch(name="ca_file", table="music_files", alias="mf", key="music_id",
+            Branch(name="ca_file", table="music_files", key="music_id",
                    where=(("region", "CA"),), fanout=False,
-                   outs=(Out(ca_label, "mf.region"),)),
+                   outs=(Out(ca_label, "region"),)),
         ),
         legacy_dup=legacy)
 

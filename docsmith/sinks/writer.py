@@ -1,9 +1,10 @@
 """Document sinks.
 
 A rebuild never deletes the live target first.  Each run writes a new
-version folder; only after the write and the key check succeed does the
-``_CURRENT`` marker switch to it.  A failed run leaves the previous version
-live, and a retried task overwrites only its own files.
+version folder; only after the write and the key check succeed does one more
+``_CURRENT`` marker publish it.  A failed run leaves the previous version
+live, and a retried task overwrites only its own files.  Old versions go only
+when a number to retain is asked for.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import os
 import uuid
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,30 +29,78 @@ def version_path(target: str, version: str) -> str:
 
 
 def write_documents(df: DataFrame, path: str, fmt: str = "parquet", batch_size: int | None = None,
-                    mode: str = "errorifexists", options: dict | None = None) -> None:
-    """Write one document set.  ``batch_size`` bounds records per output file
-    (the original's bulk size); ``fmt`` is any Spark data source, so a search
-    engine connector can be plugged in by name."""
-    w = df.write.mode(mode).format(fmt)
+                    mode: str = "errorifexists", options: dict | None = None,
+                    writers: int | None = None, partition_by: tuple = ()) -> None:
+    """Write one document set to files.  ``batch_size`` bounds records per output
+    file (the original's bulk size), ``writers`` the number of write tasks (its
+    concurrent requests)."""
+    w = _writer(df, fmt, mode, options, writers)
     if batch_size:
         w = w.option("maxRecordsPerFile", int(batch_size))
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(path)
+
+
+def write_to_connector(df: DataFrame, fmt: str, options: dict, mode: str = "append",
+                       writers: int | None = None) -> None:
+    """Write one document set through a data source that names its target in its
+    options (an index, a topic) instead of a path."""
+    _writer(df, fmt, mode, options, writers).save()
+
+
+def _writer(df: DataFrame, fmt: str, mode: str, options: dict | None, writers: int | None):
+    if writers:
+        df = df.repartition(int(writers))
+    w = df.write.mode(mode).format(fmt)
     for k, v in (options or {}).items():
         w = w.option(k, v)
-    w.save(path)
+    return w
+
+
+def _published(spark: SparkSession, target: str) -> DataFrame | None:
+    """The publication markers (place, version) of a target, if it has any."""
+    try:
+        return spark.read.schema("place long, version string").json(os.path.join(target, CURRENT))
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def switch_current(spark: SparkSession, target: str, version: str) -> None:
-    """Point the target's ``_CURRENT`` marker at ``version`` (one tiny file)."""
-    (spark.createDataFrame([(version,)], "version string").coalesce(1)
-          .write.mode("overwrite").text(os.path.join(target, CURRENT)))
+    """Publish ``version``: one more marker, a tiny file that the commit of its job
+    makes visible at once.  No marker is ever deleted, so until then, and after a
+    failure, the version before is the current one."""
+    markers = _published(spark, target)
+    last = markers.agg(F.max("place")).first()[0] if markers is not None else None
+    (spark.createDataFrame([((last or 0) + 1, version)], "place long, version string").coalesce(1)
+          .write.mode("append").json(os.path.join(target, CURRENT)))
 
 
 def current_version(spark: SparkSession, target: str) -> str | None:
-    try:
-        row = spark.read.text(os.path.join(target, CURRENT)).first()
-    except Exception:
-        return None
-    return row[0] if row else None
+    markers = _published(spark, target)
+    row = None if markers is None else markers.agg(F.max(F.struct("place", "version"))).first()[0]
+    return row["version"] if row else None
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def remove_old_versions(spark: SparkSession, target: str, retain: int) -> list[str]:
+    """Delete published versions but for the newest ``retain`` (at least the
+    current one); unpublished ones, which may be in the making, stay."""
+    markers = _published(spark, target)
+    if markers is None:
+        return []
+    newest = [r["version"] for r in markers.groupBy("version").agg(F.max("place").alias("place"))
+              .orderBy(F.col("place").desc()).collect()]  # one row per rebuild
+    old = newest[max(1, retain):]
+    for version in old:
+        remove_folder(spark, version_path(target, version))
+    return old
 
 
 def read_current(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame:

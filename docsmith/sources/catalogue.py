@@ -74,33 +74,27 @@ class Catalogue:
 
     @classmethod
     def from_jdbc(cls, spark: SparkSession, url: str, properties: dict, names=None,
-                  fetchsize: int = 100, partitioned: dict | None = None,
-                  segmented: dict | None = None) -> "Catalogue":
-        """JDBC catalogue.  ``partitioned`` maps a table to the list of
-        predicates (see ``ranges.jdbc_predicates``) used to read it in parallel,
-        one predicate per segment, as the original job issued one statement per
-        id range.  ``segmented`` maps a table to a segment size instead: its
-        largest id is probed in the database (one scalar) when the table is
-        first used, and the predicates are derived from it."""
-        from .ranges import jdbc_predicates
+                  fetchsize: int = 100, partitions: int = 1) -> "Catalogue":
+        """JDBC catalogue.  With ``partitions`` over 1 each table that has an item
+        key is read over so many connections, in ranges of that key; its largest
+        key is probed in the database (one scalar) when the table is first used
+        and only sets the width of the ranges."""
+        from .layout import item_keys
+        from .ranges import item_ranges
         names = names or sorted(ADAPTER_SQL)
-        props = dict(properties)
+        props = {k: str(v) for k, v in properties.items()}
         props.setdefault("fetchsize", str(fetchsize))
-        partitioned = dict(partitioned or {})
+        keys = item_keys() if partitions > 1 else {}
 
-        def probe(n: str, size: int) -> list[str]:
-            m = spark.read.jdbc(url, f"(SELECT max(id) AS m FROM {n}) probe", properties=props).first()
-            return jdbc_predicates(m[0] if m else None, size)
+        def read(n: str) -> DataFrame:
+            if n not in keys:
+                return spark.read.jdbc(url, n, properties=props)
+            probe = f"(SELECT max({keys[n]}) AS m FROM {n}) probe"
+            upper = spark.read.jdbc(url, probe, properties=props).first()["m"]
+            return spark.read.jdbc(url, n, predicates=item_ranges(upper, partitions, keys[n]),
+                                   properties=props)
 
-        def loader(n: str) -> Callable[[], DataFrame]:
-            if n in (segmented or {}):
-                return lambda: spark.read.jdbc(url, n, predicates=probe(n, segmented[n]) or ["1 = 0"],
-                                               properties=props)
-            if n in partitioned:
-                return lambda: spark.read.jdbc(url, n, predicates=list(partitioned[n]), properties=props)
-            return lambda: spark.read.jdbc(url, n, properties=props)
-
-        return cls(spark, {n: loader(n) for n in names})
+        return cls(spark, {n: (lambda n=n: read(n)) for n in names})
 
 
 def from_catalog(spark: SparkSession, database: str, names) -> Catalogue:

@@ -41,7 +41,10 @@ def bucket_catalogue(spark: SparkSession, cat: Catalogue, database: str, root: s
     keys = item_keys(docs)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{os.path.join(root, '_db')}'")
     for name in cat.names():
-        w = cat[name].write.mode("overwrite").format("parquet").option("path", os.path.join(root, name))
+        df = cat[name]
+        if name in keys:
+            df = df.repartition(buckets, keys[name])  # one task, and so one file, per bucket
+        w = df.write.mode("overwrite").format("parquet").option("path", os.path.join(root, name))
         if name in keys:
             w = w.bucketBy(buckets, keys[name]).sortBy(keys[name])
         w.saveAsTable(f"{database}.{name}")

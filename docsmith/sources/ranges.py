@@ -49,15 +49,9 @@ def range_filter(df: DataFrame, lower: int, upper: int, key: str = "id") -> Data
     return df.where(in_range(key, lower, upper))
 
 
-def range_max(df: DataFrame, lower: int, upper: int, key: str = "id") -> Column:
-    return F.max(F.when(in_range(key, lower, upper), F.col(key)))
-
-
-def segment_of(key: Column | str, size: int) -> Column:
+def segment_of(key: str, size: int) -> Column:
     # integral division (no detour through double); keys are >= 0 here
-    c = F.col(key) if isinstance(key, str) else key
-    return F.expr(f"CAST(`{key}` AS BIGINT) div {int(size)}") if isinstance(key, str) else (
-        (c.cast("long") - F.pmod(c.cast("long"), F.lit(size))) / F.lit(size)).cast("long")
+    return F.expr(f"CAST(`{key}` AS BIGINT) div {int(size)}")
 
 
 def with_segment(df: DataFrame, size: int, key: str = "id") -> DataFrame:
@@ -85,8 +79,14 @@ def segments_frame(spark: SparkSession, df: DataFrame, size: int, key: str = "id
                         F.coalesce(F.col("n_rows"), F.lit(0)).cast("long").alias("n_rows")))
 
 
-def jdbc_predicates(max_key, size: int, key: str = "id") -> list[str]:
-    """One WHERE predicate per segment, for ``spark.read.jdbc(predicates=...)``.
-    Spark's own lowerBound/upperBound leave the edge partitions open, so the
-    ranges are spelled out."""
-    return [f"{key} >= {lo} AND {key} < {hi}" for lo, hi in segment_bounds(max_key, size)]
+def item_ranges(upper, partitions: int, key: str) -> list[str]:
+    """``partitions`` WHERE predicates that cover a whole table by its item key.
+    ``upper`` only sets their width: the first range takes NULL and all smaller
+    keys, the last is open, so rows that arrive after a probe are read, too."""
+    n = max(1, int(partitions))
+    if n == 1 or not upper or upper < 1:
+        return ["1 = 1"]
+    width = -(-(int(upper) + 1) // n)
+    cuts = [k * width for k in range(1, n)]
+    middle = [f"{key} >= {a} AND {key} < {b}" for a, b in zip(cuts, cuts[1:])]
+    return [f"{key} < {cuts[0]} OR {key} IS NULL", *middle, f"{key} >= {cuts[-1]}"]

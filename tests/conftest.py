@@ -22,11 +22,13 @@ def spark():
 
 @pytest.fixture(scope="session")
 def empty_catalogue(spark):
-    """Every catalogue table, empty, with the adapter's schema."""
+    """Every catalogue table, empty, with the adapter's columns, all nullable."""
+    from pyspark.sql.types import StructField, StructType
     from docsmith.sources.adapter import ADAPTER_SQL
     from docsmith.sources.catalogue import Catalogue
     base = Catalogue.from_adapter(spark, SF0001)
-    return {n: spark.createDataFrame([], base[n].schema) for n in ADAPTER_SQL}
+    return {n: spark.createDataFrame([], StructType(
+        [StructField(f.name, f.dataType, True) for f in base[n].schema])) for n in ADAPTER_SQL}
 
 
 @pytest.fixture

@@ -13,6 +13,10 @@ from docsmith.sources import ranges
 D1, D2, D3 = datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 1, 3)
 
 
+def dates(row):
+    return None if row["restrict_date"] is None else [tuple(p) for p in row["restrict_date"]]
+
+
 def flat(cat, doc, **kw):
     return {r["_id"]: r for r in documents.build(cat, doc, **kw).df.collect()}
 
@@ -40,8 +44,6 @@ def test_full_build_never_reads_negative_ids(make_cat):
     cat = make_cat(book=[(-5, "neg", 1), (3, "pos", 1)], book_authors=[(-5, 10), (3, 10)],
                    author=[(10, "A")])
     assert sorted(flat(cat, "book")) == ["1-3"]
-    unbounded = flat(cat, "book", options=Options(key_bounds=False))
-    assert sorted(unbounded) == ["1-3"]
 
 
 def test_no_children(make_cat):
@@ -61,7 +63,7 @@ def test_dangling_dimension_counts_in_fanout(make_cat):
                    media_geo_restrict=[(1, 1, "active", "click", "US", D1)])
     b = flat(cat, "book", keep_rows=True)["1-1"]
     assert b["people_author"] == ["Ann"]
-    assert b["restrict_date"] == ["2024-01-01 00:00:00"] * 2
+    assert dates(b) == [("2024-01-01 00:00:00", 2)]
     assert b["__joined_rows"] == 2
 
 
@@ -70,10 +72,22 @@ def test_fanout_exact_and_clean(make_cat):
                    book_genres=[(1, 20), (1, 21), (1, 22)],
                    genre_book=[(20, "x"), (21, "y"), (22, "z")],
                    media_geo_restrict=[(1, 1, "active", "click", "US", D1)])
-    exact = flat(cat, "book")["1-1"]["restrict_date"]
-    clean = flat(cat, "book", options=Options(dates="clean"))["1-1"]["restrict_date"]
-    assert exact == ["2024-01-01 00:00:00"] * 6
-    assert clean == ["2024-01-01 00:00:00"]
+    exact = dates(flat(cat, "book")["1-1"])
+    clean = dates(flat(cat, "book", options=Options(dates="clean"))["1-1"])
+    assert exact == [("2024-01-01 00:00:00", 6)]
+    assert clean == [("2024-01-01 00:00:00", 1)]
+
+
+def test_multiplicity_of_a_popular_item(make_cat):
+    # 2,000 x 2,000 x 2,000 joined rows of one restriction: one pair
+    n = 2000
+    names = [(i, f"N{i}") for i in range(n)]
+    cat = make_cat(book=[(1, "t", 1)], author=names, artists=names, genre_book=names,
+                   book_authors=[(1, i) for i in range(n)], book_artists=[(1, i) for i in range(n)],
+                   book_genres=[(1, i) for i in range(n)],
+                   media_geo_restrict=[(1, 1, "active", "click", "US", D1)])
+    b = flat(cat, "book")["1-1"]
+    assert dates(b) == [("2024-01-01 00:00:00", n ** 3)] and len(b["genre"]) == n
 
 
 def test_inactive_and_other_type_restrictions_ignored(make_cat):
@@ -92,6 +106,21 @@ def test_ordered_distinct(make_cat):
     assert flat(cat, "book")["1-1"]["restrict_country_code"] == ["CA", "US"]
 
 
+def test_countries_rank_by_their_first_date(make_cat):
+    cat = make_cat(book=[(1, "t", 1)],
+                   media_geo_restrict=[(1, 1, "active", "a", "US", None), (1, 1, "active", "a", "US", D3),
+                                       (1, 1, "active", "a", "CA", D2), (1, 1, "active", "a", "AT", None),
+                                       (1, 1, "active", "a", None, D1)])
+    b = flat(cat, "book")["1-1"]
+    assert b["restrict_country_code"] == ["CA", "US", "AT"]
+    assert [d[:10] for d, _ in dates(b)] == ["2024-01-01", "2024-01-02", "2024-01-03"]
+
+
+def test_duplicate_score_of_another_id_is_none(make_cat):
+    cat = make_cat(book=[(1, "t", 1), (3, "u", 1)], scores=[(1, 1, 5.0), (2, 1, 1.0), (2, 1, 2.0)])
+    assert flat(cat, "book")["1-1"]["sorting_score_pc"] == 5.0
+
+
 def test_duplicate_score_is_an_error(make_cat):
     cat = make_cat(book=[(1, "t", 1)], scores=[(1, 1, 5.0), (1, 1, 6.0)])
     with pytest.raises((Py4JJavaError, PySparkException)) as e:
@@ -173,7 +202,7 @@ def test_chain_counts_every_site(make_cat):
                    media_geo_restrict=[(1, 3, "active", "x", "US", D1)])
     m = flat(cat, "movie", keep_rows=True)["3-1"]
     assert m["site_exclusion_id"] == [100, 101, 102]
-    assert m["__joined_rows"] == 3 and len(m["restrict_date"]) == 3
+    assert m["__joined_rows"] == 3 and dates(m) == [("2024-01-01 00:00:00", 3)]
 
 
 def test_nested_shape(make_cat):
@@ -183,12 +212,38 @@ def test_nested_shape(make_cat):
     assert set(n["sorting_score"].asDict()) == {"pc", "mobile", "tablet", "mac", "console"}
 
 
-def test_exact_dates_overflow_fails_loudly(spark):
+def test_collisions_and_override(make_cat, spark):
     from pyspark.sql import functions as F
-    from docsmith.functions.lists import expand_multiset
-    df = spark.createDataFrame([(1,)], "k int").select(
-        F.array(F.struct(F.lit("d").alias("d"), F.lit(3).cast("long").alias("n"))).alias("rows"))
-    assert df.select(expand_multiset(F.col("rows"), "d", F.lit(2)).alias("x")).first()["x"] == ["d"] * 6
-    with pytest.raises((Py4JJavaError, PySparkException)) as e:
-        df.select(expand_multiset(F.col("rows"), "d", F.lit(10 ** 10)).alias("x")).collect()
-    assert "longer than an array" in str(e.value)
+    from docsmith.operators.assemble import LabelCollision
+    cat = make_cat(book=[(1, "t", 1)], book_genres=[(1, 1)], genre_book=[(1, "Rock")])
+    cat = cat.with_table("book", cat["book"].withColumn("Genre", F.lit("own")).withColumn(
+        "media_type", F.lit("own")))
+    with pytest.raises(LabelCollision):
+        documents.build(cat, "book")
+    d = documents.build(cat, "book", options=Options(override=True))
+    row = d.df.first()
+    assert row["genre"] == ["Rock"] and row["media_type"] == "book" and row["title"] == "t"
+
+
+def test_case_insensitive_constants_and_countries(make_cat):
+    rows = [(1, 1, "Active", "a", "US", D2), (1, 1, "active", "a", "us", D1), (1, 1, "active", "a", "CA", D3)]
+    cat = make_cat(book=[(1, "t", 1)], media_geo_restrict=rows,
+                   media_language=[(1, "Book", 1)], ma_language=[(1, "Greek")])
+    assert flat(cat, "book")["1-1"]["restrict_country_code"] == ["us", "CA"]
+    b = flat(cat, "book", options=Options(case_insensitive=True))["1-1"]
+    assert b["restrict_country_code"] == ["US", "CA"] and b["languages"] == ["Greek"]
+    assert len(dates(b)) == 3
+
+
+def test_songs_of_negative_albums_alone_and_shared(spark, make_cat):
+    from docsmith.job import staging_root
+    from docsmith.operators.assemble import assemble
+    from docsmith.plans.shared import prebuilt_for, stage_shared
+    from docsmith.plans.specs import spec_for
+    cat = make_cat(music_album=[(-5, "alb", 1, 1, 1), (7, "other", 1, 1, 1)], music=[(10, -5, "s")],
+                   media_geo_restrict=[(-5, 2, "active", "x", "US", D1)])
+    specs = [spec_for(d) for d in ("album", "song", "book")]
+    staged = stage_shared(spark, cat, specs, staging_root(spark, "shared"))
+    alone = flat(cat, "song")["2--5-10"]
+    shared = assemble(cat, spec_for("song"), prebuilt=prebuilt_for(spark, staged, spec_for("song"))).df.first()
+    assert alone == shared and alone["restrict_country_code"] == ["US"] and len(dates(alone)) == 1

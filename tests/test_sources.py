@@ -8,18 +8,32 @@ from docsmith.sources.adapter import ADAPTER_SQL, base_tables_of, oracle_ctes, s
 from docsmith.sources.catalogue import Catalogue
 
 
-def test_jdbc_predicates_cover_segments():
-    preds = ranges.jdbc_predicates(2500, 1000)
-    assert preds == ["id >= 0 AND id < 1000", "id >= 1000 AND id < 2000", "id >= 2000 AND id < 3000"]
-    assert ranges.jdbc_predicates(None, 1000) == []
+def test_jdbc_ranges_cover_every_row(spark):
+    for upper, n in ((2500, 4), (2, 8), (None, 4), (-3, 4), (10, 1)):
+        parts = ranges.item_ranges(upper, n, "k")
+        rows = spark.createDataFrame([(k,) for k in (None, -7, 0, 1, 2, 3, 624, 625, 626, 2500, 10 ** 12)],
+                                     "k long")
+        counts = rows.selectExpr(*[f"count_if({p}) AS c{i}" for i, p in enumerate(parts)]).first()
+        assert sum(counts) == rows.count(), (upper, n)  # each row in exactly one range
+    assert len(ranges.item_ranges(2500, 4, "k")) == 4
 
 
-def test_jdbc_catalogue_is_lazy(spark):
-    # nothing connects until a table is used
-    cat = Catalogue.from_jdbc(spark, "jdbc:none://nowhere", {"user": "u"},
-                              partitioned={"book": ranges.jdbc_predicates(10, 5)},
-                              segmented={"movie": 1000})
-    assert "book" in cat and "author" in cat and "movie" in cat
+def test_jdbc_reads_in_ranges_of_the_item_key():
+    calls = []
+
+    class Reader:
+        def jdbc(self, url, table, predicates=None, properties=None):
+            calls.append((table, predicates, properties))
+            return type("F", (), {"first": lambda self: {"m": 99}})()
+    spark = type("S", (), {"read": Reader()})()
+    cat = Catalogue.from_jdbc(spark, "jdbc:none://nowhere", {"user": "u"}, partitions=2)
+    assert not calls  # nothing connects until a table is used
+    cat["book_authors"]
+    assert calls[0][0] == "(SELECT max(book_id) AS m FROM book_authors) probe"
+    assert calls[1][1] == ["book_id < 50 OR book_id IS NULL", "book_id >= 50"]
+    assert calls[1][2] == {"user": "u", "fetchsize": "100"}
+    cat["author"]  # no item key: one connection
+    assert calls[2][1] is None
 
 
 def test_adapter_text():
@@ -61,6 +75,8 @@ def test_bucketed_catalogue_removes_shuffles(spark, tmp_path):
                               df._jdf.queryExecution().executedPlan().toString()))
 
     assert exchanges(bcat) < exchanges(cat) // 2
+    files = [f for f in (tmp_path / "movie_actors").iterdir() if f.name.startswith("part-")]
+    assert len(files) == 4  # one per bucket
     a = shape.comparable(documents.build(cat, "movie").df)
     b = shape.comparable(documents.build(bcat, "movie").df)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
