@@ -248,10 +248,12 @@ def conformance(docs=("book", "movie", "game", "software", "album", "song")) ->
         declared = set(declared_paths(doc))
         rows = ", ".join(
             f"('{path}', {path in declared}, {path in emitted}, "
+            + (f"(SELECT bool_and(typeof(c{emitted[path]}) IN ('VARCHAR', 'VARCHAR[]')) FROM doc), "
+               if path in emitted and path in declared else "CAST(NULL AS BOOLEAN), ")
             + (f"(SELECT count(c{emitted[path]}) FROM doc)" if path in emitted else "0") + ")"
             for path in sorted(set(emitted) | declared))
         parts.append(f"SELECT '{doc}' AS doc, * FROM ({ctes} SELECT * FROM (VALUES {rows}) "
-                     f"v(field, declared, emitted, n_docs_with_value))")
+                     f"v(field, declared, emitted, type_conforms, n_docs_with_value))")
     return " UNION ALL ".join(parts)
 
 

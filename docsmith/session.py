@@ -57,10 +57,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def apply_scale_conf(spark: SparkSession) -> None:
     """Apply the runtime SQL settings to an existing session (e.g. the driver's)."""
     for k, v in SCALE_CONF.items():
-        try:
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # static or locked settings stay as the cluster set them
-            pass
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

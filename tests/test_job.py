@@ -154,6 +154,14 @@ def test_declared_schema_and_conformance(spark):
     assert rep[("software", "people.softwareType")]["declared"] is False
     assert rep[("book", "people.author")]["declared"] and rep[("book", "people.author")]["emitted"]
     assert rep[("book", "_id")]["n_docs_with_value"] == cat["book"].count()
+    assert rep[("book", "people.author")]["type_conforms"] is True
+    # the type ids of games are declared, and emitted, as text; numbers would be found
+    from docsmith.plans.schema import nonconforming, type_conforms
+    from pyspark.sql.types import ArrayType, LongType
+    assert not type_conforms("game", "game_type", ArrayType(LongType()))
+    assert nonconforming(documents.build(cat, "game")) == []
+    assert nonconforming(documents.build(cat, "software")) == [
+        "people.software_type: declared, not emitted"]
 
 
 def test_duplicate_labels_found():
