@@ -1,9 +1,7 @@
-import sys
+"""Shared by the tests of this folder (a second conftest would hide the first)."""
 
 import pytest
 
-sys.path.insert(0, __file__.rsplit("/tests/", 1)[0])
-
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 

@@ -4,6 +4,7 @@ import random
 import numpy as np
 
 from docsmith.llm import mixing, sharding
+from llm_fixtures import documents  # noqa: F401
 
 
 def brute_targets(sizes, weights=(5, 2, 1), cap=3):

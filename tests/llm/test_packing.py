@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from docsmith.llm import packing
+from llm_fixtures import documents  # noqa: F401
 
 
 def ids_by_tokenizers(text):

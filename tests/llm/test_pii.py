@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docsmith.llm import pii
+from llm_fixtures import documents  # noqa: F401
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")

@@ -7,6 +7,7 @@ import pytest
 import corpus_pipeline
 from docsmith.llm import oracle, queries
 from docsmith.llm.common import release_staged, table
+from llm_fixtures import documents  # noqa: F401
 
 SF = "/root/testdata/sf0.01"
 
@@ -38,8 +39,6 @@ def test_quality_stage_keeps_good_documents(spark, stages):
 
 
 def test_near_duplicate_stage_leaves_one_of_each_group(stages):
-    import sys
-    sys.path.insert(0, "tests/llm")
     from test_simhash import brute_components, brute_fingerprint
     docs, after = stages["near-duplicates"]
     rows = sorted(docs.select("doc_id", "text").collect())

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docsmith.llm import quality_model as M
 from docsmith.llm import quality_rules as R
 from docsmith.llm.common import WORD_PATTERN
+from llm_fixtures import documents  # noqa: F401
 
 SF001 = "/root/testdata/sf0.1"
 LABELS = "doc_id long, quality int, toxic int"

@@ -4,6 +4,7 @@ import re
 import xxhash
 
 from docsmith.llm import simhash
+from llm_fixtures import documents  # noqa: F401
 
 
 def brute_fingerprint(text, n=3):

@@ -4,6 +4,7 @@ import random
 import pytest
 
 from docsmith.llm import suffix_dedup as S
+from llm_fixtures import documents  # noqa: F401
 
 
 def brute(texts, length):
