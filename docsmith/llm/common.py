@@ -7,6 +7,7 @@ re-read, never a recomputation, and Catalyst knows the size of what it reads.
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,13 +47,20 @@ def release_staged(spark: SparkSession) -> int:
     return n
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Hand Python at most ``rows`` rows at a time.  The default of 10,000 long
-    texts would not fit a worker; a caller's smaller setting stays."""
+def python_workers(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Settings for operators that run Python.  Batches hold at most ``rows`` rows:
+    the default of 10,000 long texts would not fit a worker; a caller's smaller
+    setting stays.  Workers that see this machine's files find the package where
+    the driver found it (elsewhere it is shipped with the job)."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
     if now <= 0 or now > rows:
         spark.conf.set(key, str(rows))
+    environment = spark.sparkContext.environment
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = [x for x in environment.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*known, root])
 
 
 def packed(df: DataFrame) -> DataFrame:

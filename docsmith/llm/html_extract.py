@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsmith.llm.common import content_key, small_batches, staged
+from docsmith.llm.common import content_key, python_workers, staged
 
 #: A subtree is a template on this many pages of different content of its host,
 #: and on this share of them.
@@ -388,7 +388,7 @@ def extract(spark: SparkSession, pages: DataFrame, min_pages: int = MIN_PAGES,
             min_share: float = MIN_SHARE, id_col: str = "page_id", url_col: str = "url",
             html_col: str = "html") -> DataFrame:
     """One row per row of ``pages``: id, url, text, n_templates."""
-    small_batches(spark)
+    python_workers(spark)
     html = F.coalesce(F.col(html_col), F.lit(""))
     keyed = pages.select(F.col(id_col), F.col(url_col), html.alias("html"),
                          host_of(F.col(url_col)).alias("host"))

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsmith.llm.common import small_batches, staged, text_or_empty
+from docsmith.llm.common import python_workers, staged, text_or_empty
 
 END_ID = 0
 #: Tokens that one task packs; bounds its memory.
@@ -119,7 +119,7 @@ def pack(spark: SparkSession, docs: DataFrame, capacity: int = 1024, linear: flo
          vocabulary: tuple[str, str] | None = None, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
     """One row per piece with its sequence_id and offset."""
-    small_batches(spark)
+    python_workers(spark)
     ranks_path, pattern = vocabulary or public_vocabulary()
     pieces = staged(spark, cut_pieces(docs, capacity, ranks_path, pattern, id_col, text_col),
                     "pack-pieces")

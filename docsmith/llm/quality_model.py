@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsmith.llm.common import small_batches, staged, text_or_empty
+from docsmith.llm.common import python_workers, staged, text_or_empty
 
 MAX_LABELLED = 50_000
 THRESHOLD = 0.7
@@ -188,7 +188,7 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame,
              id_col: str = "doc_id", text_col: str = "text",
              keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of ``docs``: id, held_out, score, predicted."""
-    small_batches(spark)
+    python_workers(spark)
     stats = staged(spark, with_statistics(docs, id_col, text_col, keep), "quality-statistics")
     trees = train(stats, labels, max_labelled=max_labelled)
     scored = with_scores(stats, trees).withColumnRenamed("id", id_col)
@@ -201,7 +201,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame,
               text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the classifier accepts.  The text is scored where
     it lies, so nothing is shuffled back to it."""
-    small_batches(spark)
+    python_workers(spark)
     stats = staged(spark, with_statistics(docs, id_col, text_col), "quality-statistics")
     trees = train(stats, labels)
 

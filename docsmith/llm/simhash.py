@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsmith.llm.common import field, packed, row_key, small_batches, staged, unpacked
+from docsmith.llm.common import field, packed, row_key, python_workers, staged, unpacked
 
 BITS = 64
 SEED = 42
@@ -157,7 +157,7 @@ def simhash_components(spark: SparkSession, docs: DataFrame, shingle: int = 3, r
     """One row per row of ``docs``: id, ``fp`` (signed long), ``root`` (the
     component's own fingerprint), ``component_id`` (smallest id of the component)
     and the columns named in ``keep``."""
-    small_batches(spark)
+    python_workers(spark)
     prints = staged(spark, docs.select(
         F.col(id_col).alias("id"), *keep,
         fingerprint_column(F.col(text_col), shingle).alias("fp")), "simhash-prints")

@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsmith.llm.common import content_key, small_batches, staged, text_or_empty
+from docsmith.llm.common import content_key, python_workers, staged, text_or_empty
 
 LENGTH, TRIGGER = 400, 64
 _PLACE_BITS = 20
@@ -294,7 +294,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, length: int = LENGTH,
                    trigger: int = TRIGGER, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, n_bytes, n_removed, n_spans, kept_sha256."""
-    small_batches(spark)
+    python_workers(spark)
     texts = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     texts = texts.select("id", "text", *content_key(F.col("text")))
     base = staged(spark, texts.select("id", "k1", "k2", F.octet_length("text").alias("n_bytes"),

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docsmith.llm.common import staged
+from docsmith.llm.common import python_workers, staged
 
 BLOCK, QUERY_BLOCK = 8192, 1024
 #: Depths at which the bounds are compared, as parts of a list.
@@ -127,6 +127,7 @@ def top_k(spark: SparkSession, vectors: DataFrame, queries: DataFrame | None = N
           query_block: int = QUERY_BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score.  Queries are the rows whose id is divisible
     by ``every``."""
+    python_workers(spark, 10_000)  # vectors are short
     ints = F.transform(F.col(vector_col),
                        lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("long"))
     usable = F.col(vector_col).isNotNull() & F.forall(
