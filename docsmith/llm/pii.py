@@ -9,8 +9,10 @@ one context, and equal lines count once.  For a term t that stands within
     PMI(t; e) = log2(p(t, e) / (p(t) p(e)))         what t reveals of e
     IC(e) - PMI(t; e) = -log2 p(e | t)              what stays uncertain about e
 
-A term with at least ``support`` contexts beside e discloses e if it reveals
-``min_bits`` or more and leaves at most ``residual_bits`` uncertain.  Every
+A term discloses e if it reveals ``min_bits`` or more and leaves at most
+``residual_bits`` uncertain, from ``support`` contexts beside e on: a single one
+is no co-occurrence, any word of the corpus that occurs once would disclose its
+neighbour.  Terms have three characters, or two with one of a CJK script.  Every
 occurrence of a disclosing term, in any document, becomes a span of kind ``term``
 and is removed; base spans are generalised to their kind.
 
@@ -22,8 +24,9 @@ every character of a long run; repetitions are possessive, so long texts need no
 backtracking.
 
 Scale: two passes over the text.  The first stages the spans and the lines with
-entities, the second counts candidate terms: tokens are first filtered against
-the hash buckets of the candidates (at most ``BUCKETS`` numbers are broadcast,
+entities, the second counts candidate terms, after a sample of the
+lines has excluded terms with too many contexts (its count is a lower bound of the
+exact one): tokens are first filtered against the hash buckets of the candidates (at most ``BUCKETS`` numbers are broadcast,
 whatever the corpus holds), so only those go through a shuffle.  Texts are
 shuffled only where they contain a disclosing term.
 
@@ -56,7 +59,10 @@ NOT_TOKEN = r"[^\p{L}\p{N}]++"
 SPAN = "array<struct<start:int,kind_no:int,end:int,kind:string>>"
 #: Upper bound of the broadcast filters.
 BUCKETS = 1 << 18
-WINDOW, SUPPORT, MIN_BITS, RESIDUAL_BITS = 8, 5, 8.0, 0.5
+WINDOW, SUPPORT, MIN_BITS, RESIDUAL_BITS = 8, 2, 8.0, 0.5
+CJK = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}]"
+#: One of so many lines is in the sample.
+SAMPLE = 16
 
 
 def _valid(kind: str, hit: Column) -> Column:
@@ -145,7 +151,28 @@ def entity_terms(base: DataFrame, window: int = WINDOW) -> DataFrame:
     entity = F.concat_ws(":", "s.kind", F.lower(F.substring(
         "line", F.col("s.start") + 1, F.col("s.end") - F.col("s.start"))))
     return each.select("line_key", entity.alias("entity"), F.explode(F.array_distinct(F.filter(
-        terms, lambda t: (F.length(t) >= 3) & ~t.rlike("[0-9]")))).alias("term")).distinct()
+        terms, lambda t: (F.length(t) >= 3) | ((F.length(t) == 2) & t.rlike(CJK))))).alias("term")) \
+        .distinct()
+
+
+def _uncertain(c_te: Column, c: Column) -> Column:
+    """Bits that a term with ``c_te`` of ``c`` contexts beside an entity leaves open."""
+    return -F.log2(c_te / c)
+
+
+def _hits(lines: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(k1, k2, line_key, term): the occurrences of the pairs' terms in ``lines``."""
+    terms = pairs.select("term").distinct()
+    buckets = terms.select(_bucket(F.col("term")).alias("b")).distinct()
+    tokens = lines.select("k1", "k2", "line_key", F.explode(
+        F.array_distinct(F.split(F.lower("line"), NOT_TOKEN))).alias("term"))
+    near = tokens.withColumn("b", _bucket(F.col("term"))) \
+        .join(F.broadcast(buckets), "b", "left_semi").drop("b")
+    return near.join(terms, "term", "left_semi")
+
+
+def _counted(hits: DataFrame) -> DataFrame:
+    return hits.select("term", "line_key").distinct().groupBy("term").agg(F.count("*").alias("c_t"))
 
 
 def disclosing_texts(spark: SparkSession, docs: DataFrame, base: DataFrame, text_col: str = "text",
@@ -163,24 +190,25 @@ def disclosing_texts(spark: SparkSession, docs: DataFrame, base: DataFrame, text
     of_lines = near.select("term", "line_key").distinct().groupBy("term") \
         .agg(F.count("*").alias("c_n"))
     pairs = staged(spark, pairs, "pii-pairs").join(of_lines, "term") \
-        .filter(-F.log2(F.col("c_te") / F.col("c_n")) <= residual_bits)
+        .filter(_uncertain(F.col("c_te"), F.col("c_n")) <= residual_bits)
     pairs = staged(spark, pairs.join(of_entity, "entity"), "pii-candidates")
     if pairs.isEmpty():
         return None
-    buckets = pairs.select(_bucket(F.col("term")).alias("b")).distinct()
     lines = docs.select(text_or_empty(text_col).alias("t")).select(
         *content_key(F.col("t")), F.explode(F.split("t", "\n")).alias("line"))
-    tokens = lines.select("k1", "k2", F.xxhash64("line").alias("line_key"), F.explode(
-        F.array_distinct(F.split(F.lower("line"), NOT_TOKEN))).alias("term"))
-    hits = tokens.withColumn("b", _bucket(F.col("term"))) \
-        .join(F.broadcast(buckets), "b", "left_semi").drop("b")
-    hits = staged(spark, hits.join(pairs.select("term").distinct(), "term", "left_semi"), "pii-hits")
-    of_term = hits.select("term", "line_key").distinct().groupBy("term") \
-        .agg(F.count("*").alias("c_t"))
+    lines = lines.withColumn("line_key", F.xxhash64("line"))
+    few = _counted(_hits(lines.filter(F.pmod("line_key", F.lit(SAMPLE)) == 0), pairs))
+    pairs = staged(spark, pairs.join(few, "term", "left").filter(
+        F.col("c_t").isNull() | (_uncertain(F.col("c_te"), F.col("c_t")) <= residual_bits))
+        .drop("c_t"), "pii-rare")
+    if pairs.isEmpty():
+        return None
+    hits = staged(spark, _hits(lines, pairs), "pii-hits")
+    of_term = _counted(hits)
     n = base.agg(F.sum("n_lines")).first()[0]
     told = pairs.join(of_term, "term").filter(
         (F.log2(F.lit(float(n)) * F.col("c_te") / (F.col("c_t") * F.col("c_e"))) >= min_bits)
-        & (-F.log2(F.col("c_te") / F.col("c_t")) <= residual_bits))
+        & (_uncertain(F.col("c_te"), F.col("c_t")) <= residual_bits))
     told = staged(spark, told.select("term").distinct(), "pii-told")
     return staged(spark, hits.join(told, "term").select("k1", "k2", "term").distinct()
                   .groupBy("k1", "k2").agg(F.collect_list("term").alias("terms")), "pii-texts")
