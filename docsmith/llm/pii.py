@@ -122,13 +122,14 @@ def _bucket(*columns: Column) -> Column:
 
 def analyse(spark: SparkSession, docs: DataFrame, text_col: str = "text",
             keep: tuple[str, ...] = ()) -> DataFrame:
-    """First pass, staged: ``keep``, the text's key, its base spans and the lines
-    that hold one."""
+    """First pass, staged: ``keep``, the text's key, its base spans, the keys of its
+    lines and the lines that hold a span."""
     lines = F.filter(F.split("t", "\n"), lambda x: x.rlike(r"@|[0-9][ .-]?[0-9]"))
     base = docs.select(*keep, text_or_empty(text_col).alias("t"))
     spans = base.select(*keep, "t", base_spans(F.col("t")).alias("spans"))
     return staged(spark, spans.select(
-        *keep, *content_key(F.col("t")), "spans", F.size(F.split("t", "\n")).alias("n_lines"),
+        *keep, *content_key(F.col("t")), "spans", F.array_distinct(F.transform(
+            F.split("t", "\n"), lambda x: F.xxhash64(x))).alias("line_keys"),
         F.when(F.size("spans") > 0, lines).alias("lines")), "pii-base")
 
 
@@ -205,7 +206,7 @@ def disclosing_texts(spark: SparkSession, docs: DataFrame, base: DataFrame, text
         return None
     hits = staged(spark, _hits(lines, pairs), "pii-hits")
     of_term = _counted(hits)
-    n = base.agg(F.sum("n_lines")).first()[0]
+    n = base.select(F.explode("line_keys").alias("line_key")).distinct().count()
     told = pairs.join(of_term, "term").filter(
         (F.log2(F.lit(float(n)) * F.col("c_te") / (F.col("c_t") * F.col("c_e"))) >= min_bits)
         & (_uncertain(F.col("c_te"), F.col("c_t")) <= residual_bits))

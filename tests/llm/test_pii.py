@@ -143,3 +143,14 @@ def test_names_on_few_lines_are_found(documents, spark):
             found[term] = found.get(term, 0) + 1
     # a third context without the address leaves 0.58 bits of two; magpie's fourth 0.42 of three
     assert found == {"nightjar": 2, "magpie": 4, "rookery": 4, "jackdaw": 5, "王芳": 2}
+
+
+def test_copies_do_not_change_what_a_term_reveals(documents, spark):
+    texts = [f"Nightjar has jo@corp.example in text{i}" for i in range(5)] \
+        + [f"filler number{i} text" for i in range(300)]
+    n, pair = len(set(texts)), 5
+    assert math.log2(n / pair) < 8 < math.log2(40 * n / pair)
+    for copies, bits in ((40, 8.0), (1, 8.0), (40, 5.5)):
+        told = {texts[r.doc_id % len(texts)][s.start:s.end] for r in pii.find(
+            spark, documents(texts * copies), min_bits=bits).collect() for s in r.term_spans}
+        assert ("Nightjar" in told) == (math.log2(n / pair) >= bits)
