@@ -1,4 +1,5 @@
 import collections
+import hashlib
 import random
 
 import numpy as np
@@ -132,3 +133,17 @@ def test_every_row_is_equally_likely_in_every_shard(spark, documents):
             count[r.doc_id] += r.shard
     assert 2.0 < np.std([count[i] for i in range(24)]) ** 2 < 5.0 or 0.8 < np.std(
         [count[i] for i in range(24)]) < 2.6
+
+
+def test_a_long_document_at_the_cut_hides_no_others(spark, documents):
+    key = lambda i: hashlib.md5(str(i).encode()).hexdigest()
+    ids = sorted(range(300), key=key)
+    # the very long document is the third of source "a", whose target ends inside it
+    rows = [(i, "w " * (4000 if n == 2 else 7), "a") for n, i in enumerate(ids)]
+    rows += [(1000, "w " * 2100, "b")]
+    got = mixing.schedule(spark, documents(rows), weights=(1, 5), slopes=(0.0,)).collect()
+    r = [x for x in got if x.source == "a"]
+    assert r[0].target == 299 * 7 + 4000 + 2100 - 3 * 2100
+    last = [x for x in r if x.repeats]
+    assert abs(sum(x.size for x in last) - r[0].target) <= 3.5
+    assert len({x.positions[0] for x in last}) == len(last)
