@@ -36,7 +36,8 @@ from pyspark.sql import functions as F
 from docsmith.llm.common import content_key, python_workers, staged
 
 #: A subtree is a template on this many pages of different content of its host,
-#: and on this share of them.
+#: and on this share of them; on a large host on ``min_pages`` times the binary
+#: logarithm of its pages, if that is less.
 MIN_PAGES, MIN_SHARE = 5, 0.01
 
 # Element groups of the HTML standard.
@@ -377,7 +378,8 @@ def page_templates(spark: SparkSession, pages: DataFrame, min_pages: int = MIN_P
     counts = each.select("host", "subtree", "page").distinct().groupBy("host", "subtree") \
         .agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages)
     templates = staged(spark, counts.join(per_host, "host").filter(
-        F.col("n") >= F.col("host_pages") * min_share).select("host", "subtree"), "html-templates")
+        F.col("n") >= F.least(F.col("host_pages") * min_share,
+                              F.log2("host_pages") * min_pages)).select("host", "subtree"), "html-templates")
     on_page = each.select("host", "k1", "k2", "subtree").distinct()
     on_page = staged(spark, on_page, "html-on-page").join(templates, ["host", "subtree"])
     return staged(spark, on_page.groupBy("k1", "k2").agg(F.collect_list("subtree").alias("templates")),

@@ -83,3 +83,14 @@ def test_empty_table_and_clashing_columns(spark):
                                "page_id long, url string, html string, templates string, host long")
     assert H.extract(spark, df.limit(0)).count() == 0
     assert H.extract(spark, df.union(df)).count() == 2
+
+
+def test_a_section_of_a_large_host_has_templates_too(spark):
+    def page(i):
+        box = "Section box" if i < 80 else f"b{i}"
+        return f"<body><div>{box}</div><p>Own text {i}</p></body>"
+    rows = [(i, f"https://big.org/{i}", page(i)) for i in range(9000)]  # 1 % are 90 pages, 80 have it
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r for r in H.extract(spark, df).filter("page_id < 100").collect()}
+    assert all(got[i].text == f"Own text {i}" for i in range(80))
+    assert got[90].text == "b90\nOwn text 90"
