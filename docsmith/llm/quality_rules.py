@@ -7,9 +7,13 @@ hypothesis "this cutoff rejects more than ``risk / rules`` of the good documents
 is refused if the exact binomial tail P(X <= k) at that risk is at most
 ``error / (rules * strata)``, with k of n good holdout documents rejected.  The
 strictest cutoff before the first failure is used; without one, the rule rejects
-nothing.  Bonferroni over rules and strata and the fixed order within a rule
-control the family-wise error: with probability 1 - error, no stratum loses more
-than ``risk`` of its good documents to all rules together.
+nothing.  A stratum with so few good documents that no cutoff could pass even if it
+rejected none of them takes the cutoffs of the pool of all strata, tested in the
+same way in its place, up to the first that rejects more than ``risk / rules`` of
+the stratum's own good documents; there the risk is controlled for the pool.
+Bonferroni over rules and strata and the fixed order within a rule
+control the family-wise error: with probability 1 - error, no tested stratum and
+not the pool lose more than ``risk`` of their good documents to all rules together.
 
 Scale: the text is read once, into a few numbers per document.  The test counts
 are one aggregate per stratum with partial sums.  Repeated word windows are found
@@ -123,6 +127,16 @@ def thresholds(spark: SparkSession, stats: DataFrame, stratum: str, rules: tuple
           for r in rules for i, c in enumerate(r.cutoffs)]), "rules-counts")
     # at k over the mean the tail is near a half or more: never significant
     share = risk / len(rules)
+    strata = max(1, counts.count())
+    level = error / len(rules) / strata
+    ks = [f"k_{r.name}_{i}" for r in rules for i, _ in enumerate(r.cutoffs)]
+    # too small for zero rejections to pass: the pool is one test in place of one stratum or more
+    small = F.pow(F.lit(1 - share), F.col("n")) > level
+    pool = counts.agg(F.sum("n").alias("n_pool"), *[F.sum(k).alias(f"pool_{k}") for k in ks])
+    counts = counts.crossJoin(F.broadcast(pool)).select(
+        "stratum", F.when(small, F.col("n_pool")).otherwise(F.col("n")).alias("n"),
+        *[F.when(small, F.when(F.col(k) <= F.col("n") * share, F.col(f"pool_{k}"))
+                 .otherwise(F.col("n_pool"))).otherwise(F.col(k)).alias(k) for k in ks])
     tests = counts.select("stratum", "n", F.explode(F.array(*[
         F.struct(F.lit(r.name).alias("rule"), F.lit(i).alias("step"), F.lit(c).alias("cutoff"),
                  F.col(f"k_{r.name}_{i}").alias("k"))
@@ -130,8 +144,7 @@ def thresholds(spark: SparkSession, stats: DataFrame, stratum: str, rules: tuple
             "stratum", "n", "test.*")
     tail = F.when(F.col("k") > F.col("n") * share + 1, 1.0).otherwise(
         binomial_tail(F.col("k"), F.col("n"), share))
-    strata = max(1, counts.count())
-    judged = tests.withColumn("safe", tail <= F.lit(error / len(rules) / strata))
+    judged = tests.withColumn("safe", tail <= F.lit(level))
     # the first failure ends a rule's fixed order
     ends = judged.groupBy("stratum", "rule").agg(
         F.coalesce(F.min(F.when(~F.col("safe"), F.col("step"))), F.lit(1 << 30)).alias("end"),

@@ -156,3 +156,21 @@ def test_rules_edge_cases(spark, documents):
     import re
     plan = R.judge(spark, docs, labels)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_strata_too_small_for_a_test_take_the_pools_cutoffs(spark):
+    # at risk 0.02 for 1 rule and error 0.05 for 4 strata, 217 good documents are needed
+    rule = (R.Rule("symbols", "n_symbols", (3.0, 2.0, 1.0)),)
+    rows = [(s, True, 0) for s in "abc" for _ in range(150)] + [("d", True, 0)] * 150
+    rows += [("d", True, 2)] * 8  # over 2 % of its own
+    stats = spark.createDataFrame(rows, "lang string, good boolean, n_symbols long")
+    got = {r.stratum: r.cut_symbols for r in R.thresholds(spark, stats, "lang", rule).collect()}
+    # 8 of 608 are beyond the cutoff 1: too many for the pool at 0.0125
+    assert got == {"a": 2.0, "b": 2.0, "c": 2.0, "d": 2.0}
+    alone = R.thresholds(spark, stats.filter("lang <> 'd'"), "lang", rule).collect()
+    assert [r.cut_symbols for r in alone] == [1.0] * 3
+    # the pool allows the cutoff 1, the stratum's own documents do not
+    more = stats.union(stats.filter("lang = 'a'").withColumn("lang", F.lit("e"))
+                       .crossJoin(spark.range(20)).drop("id"))
+    got = {r.stratum: r.cut_symbols for r in R.thresholds(spark, more, "lang", rule).collect()}
+    assert got == {"a": 1.0, "b": 1.0, "c": 1.0, "d": 2.0, "e": 1.0}
