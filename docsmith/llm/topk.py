@@ -38,7 +38,7 @@ from docsmith.llm.common import python_workers, staged
 
 BLOCK, QUERY_BLOCK = 8192, 1024
 #: Depths at which the bounds are compared, as parts of a list.
-DEPTHS = (0.25, 0.5)
+DEPTHS = (0.25, 0.5, 0.7, 0.8, 0.9, 0.95)
 #: Scores held at once by one step of a task.
 _CELLS = 1 << 22
 #: Reading ends early when this part of the pairs or less is still open.

@@ -58,3 +58,15 @@ def test_few_rows(spark):
     assert [tuple(r) for r in topk.top_k(spark, df).collect()] == [(0, 1, 1, 131072)]
     assert topk.top_k(spark, df.limit(1)).count() == 0
     assert topk.top_k(spark, df.limit(0)).count() == 0
+
+
+def test_reading_of_dense_vectors_stops_before_the_end():
+    rng = np.random.default_rng(5)
+    v = rng.integers(-256, 256, (2000, 32))
+    own = np.arange(0, 2000, 50)
+    qi, vi, scores = topk.no_random_access(v[own], v, own, 5)
+    assert 5 * len(own) < len(qi) <= 0.05 * len(own) * len(v)  # at the end just the 5 best are open
+    exact = v[own] @ v.T
+    exact[np.arange(len(own)), own] = -(1 << 40)
+    for i in range(len(own)):
+        assert sorted(scores[qi == i])[-5:] == sorted(exact[i])[-5:]
