@@ -63,7 +63,38 @@ SELECT doc_id, size, source_size, target, size * least(CAST(epochs AS BIGINT)
 FROM chosen
 """
 
+#: One round of ``CLUSTER``: assign every vector, then move the non-empty centroids.
+CLUSTER_ROUND = """
+near{r} AS MATERIALIZED (
+  SELECT uid, arg_min(cluster, (distance, cluster)) AS cluster, min(distance) AS distance FROM (
+    SELECT uid, cluster, list_sum(list_transform(list_zip(k.v, c.v),
+      lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS distance FROM kept k, centroid{r} c) GROUP BY uid),
+centroid{next} AS MATERIALIZED (
+  SELECT c.cluster, coalesce(m.v, c.v) AS v FROM centroid{r} c LEFT JOIN (
+    SELECT cluster, list((total - ((total % n) + n) % n) // n ORDER BY place) AS v FROM (
+      SELECT n.cluster, place, sum(k.v[place]) AS total, count(*) AS n
+      FROM near{r} n JOIN kept k USING (uid), range(1, 65) p(place) GROUP BY ALL) GROUP BY cluster
+  ) m USING (cluster))"""
+
+CLUSTER = """
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS uid, vec_id, list_transform(embedding,
+    lambda x: CAST(greatest(-134217728, least(134217728, floor(256 * CAST(x AS DOUBLE)))) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+centroid0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY key, v) - 1 AS cluster, v FROM (
+    SELECT sha256('2:' || vec_id) AS key, v FROM kept WHERE vec_id IS NOT NULL ORDER BY key, v LIMIT 40)),
+""" + ",".join(CLUSTER_ROUND.format(r=r, next=r + 1) for r in range(6)) + """
+SELECT k.vec_id, CAST(n.cluster AS INTEGER) AS cluster, CAST(n.distance AS BIGINT) AS distance,
+  CAST(sum(n.distance) OVER (PARTITION BY n.cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(n.distance) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(list_transform(c.v, lambda x: CAST(x AS BIGINT)), ',')) AS centroid_sha256
+FROM near5 n JOIN kept k USING (uid) JOIN centroid5 c ON c.cluster = n.cluster
+"""
+
 ORACLE: dict[str, str] = {
     "op5_no_random_access_topk": TOP_K,
     "op6_curriculum_mix": MIX,
+    "op12_orchard_clustering": CLUSTER,
 }

@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsmith.llm import (html_extract, mixing, packing, pii, quality_model, quality_rules,
-                          sharding, simhash, suffix_dedup, topk)
+from docsmith.llm import (alignment, hnsw, html_extract, mixing, orchard, packing, pii,
+                          quality_model, quality_rules, sharding, simhash, suffix_dedup, topk)
 from docsmith.llm.common import table, text_or_empty
 
 
@@ -76,8 +76,21 @@ def op10_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op11_shared_cut_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(spark, table(spark, sf_dir, "documents"))
+
+
+def op12_orchard_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orchard.clustered(spark, table(spark, sf_dir, "embeddings"), k=40, rounds=5, scale=256,
+                             width=64, salt="2")
+
+
+def op13_sharded_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(spark, table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_template_removal, op2_information_theoretic_pii,
     op3_prefix_free_parsing, op4_boosted_quality, op5_no_random_access_topk, op6_curriculum_mix,
     op7_hypergeometric_shuffle, op8_risk_controlled_rules, op9_cost_balanced_packing,
-    op10_covering_simhash)}
+    op10_covering_simhash, op11_shared_cut_alignment, op12_orchard_clustering, op13_sharded_hnsw)}

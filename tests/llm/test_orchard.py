@@ -1,0 +1,97 @@
+import hashlib
+import math
+
+import numpy as np
+import pytest
+
+from docsmith.llm import orchard
+
+
+def brute(rows, k, rounds, width):
+    """(id, cluster, distance, cluster_inertia, inertia, digest) by measuring all."""
+    edge = orchard.largest(width)
+    kept = [(i, [max(-edge, min(edge, math.floor(256 * x))) for x in v]) for i, v in rows
+            if v is not None and len(v) == width
+            and all(x is not None and math.isfinite(x) for x in v)]
+    key = lambda r: (hashlib.sha256(f"2:{r[0]}".encode()).hexdigest(), r[1])
+    centroids = [v for _, v in sorted((r for r in kept if r[0] is not None), key=key)[:k]]
+
+    def near(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c)), j) for j, c in enumerate(centroids))
+    for _ in range(rounds):
+        found = [near(v)[1] for _, v in kept]
+        for j in range(len(centroids)):
+            own = [v for (_, v), c in zip(kept, found) if c == j]
+            if own:
+                centroids[j] = [sum(x) // len(own) for x in zip(*own)]
+    last = [(i, *near(v)[::-1]) for i, v in kept] if centroids else []
+    total = sum(d for *_, d in last)
+    return sorted(((i, c, d, sum(e for _, b, e in last if b == c), total,
+                    hashlib.sha256(",".join(map(str, centroids[c])).encode()).hexdigest())
+                   for i, c, d in last), key=str)
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("size,spread", [(1, 1), (2, 5), (50, 2), (400, 40), (400, 3)])
+def test_search_equals_measuring_all(size, spread):
+    """A small spread makes equal centroids and vectors midway between two."""
+    rng = np.random.default_rng(size + spread)
+    centroids = rng.integers(-spread, spread + 1, (min(size, 30), 4))
+    v = rng.integers(-spread, spread + 1, (size, 4))
+    cluster, distance = orchard.orchard(v, centroids, *orchard.neighbour_lists(centroids))
+    all_ = ((v[:, None] - centroids) ** 2).sum(axis=2)
+    assert cluster.tolist() == all_.argmin(axis=1).tolist()   # the first of the smallest
+    assert distance.tolist() == all_.min(axis=1).tolist()
+
+
+def test_search_reads_less_than_all():
+    """Separated centroids: the lists end early."""
+    rng = np.random.default_rng(4)
+    centroids = rng.integers(-10_000, 10_000, (60, 3))
+    v = centroids[rng.integers(0, 60, 500)] + rng.integers(-5, 6, (500, 3))
+    order, reach = orchard.neighbour_lists(centroids)
+    distance = ((v[:, None] - centroids) ** 2).sum(axis=2)
+    at = distance.argmin(axis=1)
+    read = (reach[at] <= distance.min(axis=1)[:, None]).sum(axis=1)
+    assert read.mean() < 2
+    assert (orchard.orchard(v, centroids, order, reach)[0] == at).all()
+
+
+def test_largest_components_fit():
+    for width in (1, 3, 64, 1000):
+        edge = orchard.largest(width)
+        c = np.array([[edge] * width, [-edge] * width])
+        cluster, distance = orchard.orchard(c, c, *orchard.neighbour_lists(c))
+        assert cluster.tolist() == [0, 1] and distance.tolist() == [0, 0]
+        far = orchard.orchard(c[1:], c[:1], *orchard.neighbour_lists(c[:1]))[1]
+        assert far[0] == width * (2 * edge) ** 2 > 0
+
+
+def test_clusters(spark):
+    rng = np.random.default_rng(2)
+    rows = [(int(i), [float(x) for x in np.round(rng.normal(size=8), 2)]) for i in range(150)]
+    rows += [(500 + i, rows[3][1]) for i in range(80)]                     # one vector over and over
+    rows += [(7, rows[9][1]), (7, rows[9][1]), (None, rows[1][1])]         # repeated and null ids
+    rows += [(900, None), (901, []), (902, [0.0] * 7), (903, [0.0] * 9), (904, [float("nan")] * 8),
+             (905, [None] + [0.0] * 7), (906, [float("-inf")] * 8), (907, [1e30] * 8), (908, [-1e300] * 8)]
+    df = spark.createDataFrame([(i, v, 1, "x", 2) for i, v in rows],
+                               "vec_id long, embedding array<double>, cluster int, id string, v int")
+    got = orchard.clustered(spark, df.repartition(5), k=12, rounds=4, width=8)
+    exact = brute(rows, 12, 4, 8)
+    most = (1 << 63) - 1
+    want = [tuple(x if j not in (3, 4) or x <= most else None for j, x in enumerate(r)) for r in exact]
+    assert rows_of(got) == sorted(want, key=str)
+
+
+def test_few_rows(spark):
+    df = spark.createDataFrame([(1, [0.5, 1.0]), (2, [0.5, 1.0]), (3, [9.0, 9.0])],
+                               "vec_id long, embedding array<float>")
+    rows = [(r.vec_id, r.embedding) for r in df.collect()]
+    for k in (1, 3, 40):
+        assert rows_of(orchard.clustered(spark, df, k=k, width=2)) == brute(rows, k, 5, 2)
+    assert orchard.clustered(spark, df.limit(0), width=2).count() == 0
+    nobody = df.selectExpr("CAST(NULL AS long) AS vec_id", "embedding")
+    assert orchard.clustered(spark, nobody, width=2).count() == 0   # no id, no centroid
