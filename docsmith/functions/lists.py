@@ -4,7 +4,7 @@
   nothing is left; sorted, because the original order was unspecified;
 * ordered distinct list: each value ranked by its smallest sort key, ties
   broken by the value;
-* multiset list: ``(date, times)`` pairs, lossless, never expanded.
+* multiset list: ``(date, times)`` pairs, never expanded, exact to 38 digits.
 
 All of them aggregate with partial (map-side) aggregation, so a key that
 holds a large share of the rows is combined on the map side before the
@@ -16,30 +16,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Counts of joined rows: products of row counts pass 64 bits.
+WIDE = "decimal(38,0)"
+
 
 def null_if_empty(arr: Column) -> Column:
     return F.when(F.size(arr) > 0, arr)
 
 
-def collect_distinct(col: Column, case_insensitive: bool = False) -> Column:
-    """Aggregate: distinct non-NULL values (unsorted set).
-
-    With ``case_insensitive`` the set holds ``(lower(v), v)`` pairs, folded by
-    ``finish_distinct``."""
-    if case_insensitive:
-        return F.collect_set(F.when(col.isNotNull(), F.struct(F.lower(col).alias("k"), col.alias("v"))))
-    return F.collect_set(col)
+def finish_distinct(collected: Column, as_text: bool = False) -> Column:
+    """Sorted distinct list, NULL when empty; ``as_text`` renders numbers as text
+    after they are sorted as numbers."""
+    ordered = F.array_sort(collected)
+    return null_if_empty(F.transform(ordered, lambda x: x.cast("string")) if as_text else ordered)
 
 
-def finish_distinct(collected: Column, case_insensitive: bool = False) -> Column:
-    """Sorted distinct list, NULL when empty.  Case-insensitively, values that
-    differ only in case collapse to the smallest spelling."""
-    if case_insensitive:
-        s = F.array_sort(collected)
-        # keep an element when its folded key differs from the previous one
-        kept = F.filter(s, lambda x, i: (i == 0) | (F.get(s, i - 1).getField("k") != x.getField("k")))
-        return null_if_empty(F.transform(kept, lambda x: x.getField("v")))
-    return null_if_empty(F.array_sort(collected))
+def spelled(entries: Column) -> Column:
+    """The list of a group of ``(k, v)`` entries, ``k`` collated and ``v`` its
+    spelling: in the order of the collation."""
+    return null_if_empty(F.transform(F.array_sort(entries), lambda x: x.getField("v")))
 
 
 def ordered_values(entries: Column, value_field: str = "v") -> Column:
@@ -48,13 +43,27 @@ def ordered_values(entries: Column, value_field: str = "v") -> Column:
     return null_if_empty(F.transform(F.array_sort(entries), lambda p: p.getField(value_field)))
 
 
+def product(factors: list[Column]) -> Column:
+    """Exact product of row counts, up to 38 digits; NULL beyond."""
+    out = F.lit(1).cast(WIDE)
+    for f in factors:
+        out = F.try_multiply(out, f.cast(WIDE))
+    return out
+
+
 def multiset(pairs: Column, times: Column | None = None) -> Column:
     """``(date, times)`` pairs sorted by date, each multiplied by ``times``; NULL
     when empty.  The pairs are never expanded: their number is that of the
-    distinct dates, whatever the multiplicity."""
-    factor = F.lit(1).cast("long") if times is None else times
-    return null_if_empty(F.transform(F.array_sort(pairs), lambda p: F.struct(
-        p.getField("date").alias("date"), (p.getField("times") * factor).alias("times"))))
+    distinct dates, whatever the multiplicity, which is exact up to 38 digits
+    (``times`` is NULL beyond)."""
+    factor = F.lit(1).cast(WIDE) if times is None else times
+    # the factor is computed once per document, not once per date
+    held = F.transform(F.array(F.struct(F.array_sort(pairs).alias("pairs"), factor.alias("factor"))),
+                       lambda h: F.transform(h.getField("pairs"), lambda p: F.struct(
+                           p.getField("date").alias("date"),
+                           F.try_multiply(p.getField("times").cast(WIDE), h.getField("factor"))
+                           .alias("times"))))
+    return null_if_empty(held[0])
 
 
 def as_text(arr: Column, pairs: bool = False, sep: str = ",") -> Column:

@@ -14,19 +14,20 @@ an entry per joined row.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions.keys import doc_key
-from ..functions.lists import multiset, ordered_values
+from ..functions.lists import multiset, ordered_values, product
 from ..params import Options
 from ..plans.model import Branch, DocSpec, flat_name
-from ..sources.catalogue import Catalogue
+from ..sources.catalogue import NO_CASE, Catalogue, plain
 from ..sources.ranges import in_range
-from .branch import build_branch, constant_is, countries_col, dates_col, key_col, n_col, type_col
+from .branch import build_branch, countries_col, dates_col, is_lookup, key_col, n_col, type_col
 from .lookup import checked
 
 ROWS = "__joined_rows"
@@ -42,6 +43,23 @@ class Document:
     df: DataFrame          # flat columns named by flat labels, lists as arrays
     labels: list           # document labels, in output order
     root_columns: list     # the pass-through root columns
+    lookups: list          # the N:1 lookups
+    full: DataFrame        # df with the row count of every lookup
+
+
+def observed(document: Document, observation: Observation) -> Document:
+    """The document whose next action also fills ``observation``: the number of
+    documents (``n``), of documents with a value per field (``f0``, ``f1``, ... in the
+    order of the labels), with a NULL key (``no_key``) and, per lookup, of those whose
+    key had several rows (``r0``, ...)."""
+    df = document.full
+    names = [flat_name(x) for x in document.labels]
+    counts = [F.count(F.col(f"`{n}`")).alias(f"f{i}") for i, n in enumerate(names)]
+    repeated = [F.count(F.when(F.col(f"__n_{x}") > 1, 1)).alias(f"r{i}")
+                for i, x in enumerate(document.lookups)]
+    no_key = F.count(F.when(F.col("_id").isNull(), 1)).alias("no_key")
+    df = df.observe(observation, F.count(F.lit(1)).alias("n"), no_key, *counts, *repeated)
+    return replace(document, df=df.select(*[F.col(f"`{c}`") for c in document.df.columns]))
 
 
 # A full rebuild reads ids from 0, as the original's segment loop did.  There is
@@ -49,10 +67,6 @@ class Document:
 FULL_RANGE = (0, None)
 
 
-def _product(cols: list[Column]) -> Column:
-    return reduce(lambda a, b: a * b, cols, F.lit(1).cast("long"))
-
-
 def _factor(b: Branch) -> Column:
     return F.coalesce(F.col(n_col(b)), F.lit(1).cast("long"))
 
@@ -62,6 +76,8 @@ def assemble(cat: Catalogue, spec: DocSpec, options: Options | None = None,
              keep_rows: bool = False) -> Document:
     o = options or Options()
     prebuilt = prebuilt or {}
+    if o.case_insensitive:
+        cat = cat.collated(NO_CASE)
     root = cat[spec.root]
     root_cols = list(root.columns)
     root = root.where(in_range("id", *(id_range or FULL_RANGE)))
@@ -75,7 +91,7 @@ def assemble(cat: Catalogue, spec: DocSpec, options: Options | None = None,
         for b in branches:
             agg = prebuilt.get(b.name)
             if agg is None:
-                agg = build_branch(cat, b, o.case_insensitive)
+                agg = build_branch(cat, b)
             own = {c: f"__f_{c}" for c in agg.columns if not c.startswith("__")}
             agg = agg.withColumnsRenamed(own)
             df = df.join(agg, F.col(b.root_ref) == F.col(key_col(b)), "left").drop(key_col(b))
@@ -102,7 +118,7 @@ def assemble(cat: Catalogue, spec: DocSpec, options: Options | None = None,
         d = spec.legacy_dup
         dup = cat[d.table]
         for c, v in d.where:
-            dup = dup.where(constant_is(F.col(c), v, o.case_insensitive))
+            dup = dup.where(F.col(c) == F.lit(v))
         dup = dup.select(F.col(d.key).alias("__dup_k"))
         root = root.join(dup, F.col(d.root_ref) == F.col("__dup_k"), "left").drop("__dup_k")
 
@@ -122,7 +138,7 @@ def assemble(cat: Catalogue, spec: DocSpec, options: Options | None = None,
                 exprs[lab] = checked(b, F.col(f"__f_{flat_name(lab)}"))
         if b.kind == "restriction":
             mode = o.dates if (b.dates_mode == "doc" and spec.grouped) else "clean"
-            times = _product([_factor(x) for x in fan if x is not b]) if mode == "exact" else None
+            times = product([_factor(x) for x in fan if x is not b]) if mode == "exact" else None
             exprs["restrict.type"] = F.col(type_col(b))
             exprs["restrict.country_code[]"] = ordered_values(F.col(countries_col(b)))
             exprs["restrict.date[]"] = multiset(F.col(dates_col(b)), times)
@@ -151,7 +167,13 @@ def assemble(cat: Catalogue, spec: DocSpec, options: Options | None = None,
     dupes = sorted({n for n in names if lower.count(n.lower()) > 1})
     if dupes:
         raise LabelCollision(f"{spec.doc}: duplicate output fields {dupes}")
+    if o.case_insensitive:   # documents hold plain text
+        kinds = root.select(*[c.alias(f"c{i}") for i, c in enumerate(cols)]).schema.fields
+        cols = [plain(c) if isinstance(f.dataType, StringType) else c for c, f in zip(cols, kinds)]
     out = [c.alias(n) for c, n in zip(cols, names)]
     if keep_rows:
-        out.append(_product([_factor(b) for b in fan]).alias(ROWS))
-    return Document(spec, root.select(*out), labels, root_cols)
+        out.append(product([_factor(b) for b in fan]).alias(ROWS))
+    lookups = [b.name for b in spec.branches if is_lookup(b)]
+    full = root.select(*out, *[F.col(n_col(b)) for b in spec.branches if b.name in lookups])
+    return Document(spec, full.drop(*[n_col(b) for b in spec.branches if b.name in lookups]), labels,
+                    root_cols, lookups, full)

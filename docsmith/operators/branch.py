@@ -21,10 +21,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from ..functions.lists import collect_distinct, finish_distinct, null_if_empty
+from ..functions.lists import finish_distinct, spelled
 from ..plans.model import Branch, flat_name
-from ..sources.catalogue import Catalogue
+from ..sources.catalogue import Catalogue, plain
 
 
 OWN = "own"  # prefix of the branch table's own columns
@@ -93,43 +94,35 @@ class Kinds:
         self.ids = {k: params.media_id(k) for k in kinds}
         self.names = {k: params.media_name(k) for k in kinds}
 
+    # equalities, not map lookups: they follow the collation of the column
     def to_id(self, col: Column, form: str) -> Column:
         if form == "id":
             return F.when(col.cast("int").isin(list(self.ids.values())), col.cast("int"))
-        pairs = [x for k in self.ids for x in (F.lit(self.names[k]), F.lit(self.ids[k]))]
-        return F.create_map(*pairs)[col]
+        return F.coalesce(*[F.when(col == F.lit(self.names[k]), F.lit(self.ids[k])) for k in self.ids])
 
     def from_id(self, kind: Column, form: str) -> Column:
         if form == "id":
             return kind
-        pairs = [x for k in self.ids for x in (F.lit(self.ids[k]), F.lit(self.names[k]))]
-        return F.create_map(*pairs)[kind]
-
-
-def constant_is(col: Column, value, fold_case: bool) -> Column:
-    """``col = value``; for text without regard to case if asked."""
-    if fold_case and isinstance(value, str):
-        return F.lower(col) == F.lit(value.lower())
-    return col == F.lit(value)
+        return F.coalesce(*[F.when(kind == F.lit(self.ids[k]), F.lit(self.names[k])) for k in self.ids])
 
 
 def _table(cat: Catalogue, table: str, prefix: str, where: tuple, cols: list[str],
-           fold_case: bool, skip: set = frozenset()) -> DataFrame:
+           skip: set = frozenset()) -> DataFrame:
     df = cat[table]
     for c, v in where:
         if c not in skip:
-            df = df.where(constant_is(F.col(c), v, fold_case))
+            df = df.where(F.col(c) == F.lit(v))
     return df.select([F.col(c).alias(f"{prefix}__{c}") for c in cols])
 
 
-def joined_rows(cat: Catalogue, b: Branch, fold: bool = False, kinds: Kinds | None = None,
-                fold_case: bool = False) -> DataFrame:
+def joined_rows(cat: Catalogue, b: Branch, fold: bool = False, kinds: Kinds | None = None) -> DataFrame:
     """The branch's rows before aggregation: the branch table (filtered on
     its constants) joined with its dimensions, one row per joined row.
 
-    With ``fold``, joins marked ``fold`` meet a right side already reduced to
-    one row per key: its columns become value sets and ``__w`` carries the
-    number of rows each joined row stands for.
+    With ``fold``, equal rows of the branch table are one row before the joins,
+    and joins marked ``fold`` meet a right side already reduced to one row per
+    key: its columns become value sets.  ``__w`` is the number of joined rows that
+    a row stands for.
 
     With ``kinds``, the media-type constants are replaced by a ``__kind``
     column (see ``Kinds``)."""
@@ -143,17 +136,21 @@ def joined_rows(cat: Catalogue, b: Branch, fold: bool = False, kinds: Kinds | No
                 if c not in need[table]:
                     need[table].append(c)
     skip = {c for c, _ in b.kind_cols} if kinds is not None else set()
-    df = _table(cat, b.table, OWN, b.where, need[OWN], fold_case, skip)
+    df = _table(cat, b.table, OWN, b.where, need[OWN], skip)
     df = df.where(F.col(col_name(b.key)).isNotNull())
     if kinds is not None:
         c, form = b.kind_cols[0]
         df = df.withColumn(KIND, kinds.to_id(F.col(f"{OWN}__{c}"), form)).where(
             F.col(KIND).isNotNull())
-    weight = F.lit(1).cast("long")
+    if fold:
+        later = {col_name(r) for j in b.joins for r, _ in j.on} | {col_name(o.ref) for o in b.outs}
+        held = [c for c in df.columns if c == KIND or c == col_name(b.key) or c in later]
+        df = df.groupBy(*held).agg(F.count(F.lit(1)).alias("__rows"))
+    weight = F.col("__rows") if fold else F.lit(1).cast("long")
     folded: set = set()
     for j in b.joins:
         jskip = {c for c, _ in j.kind_cols} if kinds is not None else set()
-        right = _table(cat, j.table, j.table, j.where, need.get(j.table, []), fold_case, jskip)
+        right = _table(cat, j.table, j.table, j.where, need.get(j.table, []), jskip)
         for left, _ in j.on:
             if table_of(left) in folded:
                 raise ValueError(f"branch {b.name!r}: cannot join on folded table {left!r}")
@@ -166,7 +163,7 @@ def joined_rows(cat: Catalogue, b: Branch, fold: bool = False, kinds: Kinds | No
             keys = [f"{j.table}__{r}" for _, r in j.on] + [f"{j.table}__{c}" for c in jskip]
             vals = [c for c in right.columns if c not in keys]
             right = right.groupBy(*keys).agg(F.count(F.lit(1)).alias(f"__jn_{j.table}"),
-                                             *[F.collect_set(c).alias(c) for c in vals])
+                                             *[_distinct_values(right, c).alias(c) for c in vals])
             weight = weight * F.coalesce(F.col(f"__jn_{j.table}"), F.lit(1).cast("long"))
             folded.add(j.table)
         df = df.join(right, cond, j.how)
@@ -175,145 +172,175 @@ def joined_rows(cat: Catalogue, b: Branch, fold: bool = False, kinds: Kinds | No
     return df
 
 
+def _collated(df: DataFrame, c: str) -> bool:
+    return _is_collated(df.schema[c].dataType)
+
+
+def _distinct_values(df: DataFrame, c: str) -> Column:
+    # a collated value has no set; its spellings do
+    return F.collect_set(plain(F.col(c)) if _collated(df, c) else F.col(c))
+
+
 def folded_tables(b: Branch) -> set:
     return {j.table for j in b.joins if j.fold}
 
 
-def _out_agg(o, fold_case: bool) -> Column:
-    c = F.col(col_name(o.ref))
-    if o.agg == "distinct":
-        return collect_distinct(c, fold_case).alias(flat_name(o.label))
-    if o.agg == "distinct_text":
-        return F.collect_set(c).alias(flat_name(o.label))
-    if o.agg == "count_distinct":
-        return F.countDistinct(c).alias(flat_name(o.label))
-    if o.agg in ("any", "any_list"):
-        return F.min(c).alias(flat_name(o.label))
-    raise ValueError(f"unknown aggregate {o.agg!r}")
-
-
-def _out_finish(o, fold_case: bool) -> Column:
-    name = flat_name(o.label)
-    c = F.col(name)
-    if o.agg == "distinct":
-        return finish_distinct(c, fold_case).alias(name)
-    if o.agg == "distinct_text":
-        return null_if_empty(F.transform(F.array_sort(c), lambda x: x.cast("string"))).alias(name)
-    if o.agg == "count_distinct":
-        return c.cast("long").alias(name)
-    if o.agg == "any_list":
-        return F.when(c.isNotNull(), F.array(c)).alias(name)
-    return c.alias(name)
-
-
-def build_branch(cat: Catalogue, b: Branch, case_insensitive: bool = False,
-                 kinds: Kinds | None = None) -> DataFrame:
+LISTS = ("distinct", "distinct_text")
+LOOKUP = ("any", "any_list")
+
+
+def is_lookup(b: Branch) -> bool:
+    """A branch whose values come from the one row of its key."""
+    return bool(b.outs) and all(o.agg in LOOKUP for o in b.outs)
+
+
+def build_branch(cat: Catalogue, b: Branch, kinds: Kinds | None = None) -> DataFrame:
     """One row per key (per (``__kind``, key) with ``kinds``)."""
     if b.kind == "restriction":
-        return _build_restriction(cat, b, kinds, case_insensitive)
+        return _build_restriction(cat, b, kinds)
     if b.kind == "scores":
         from .lookup import score_pivot
         return score_pivot(cat, b)
     extra = [KIND] if kinds is not None else []
     k = F.col(col_name(b.key)).alias(key_col(b))
+    if is_lookup(b):
+        return _build_lookup(joined_rows(cat, b, kinds=kinds), b, [*extra, k])
     only_count_distinct = len(b.outs) == 1 and b.outs[0].agg == "count_distinct"
     if only_count_distinct:
         # Two-level form of COUNT(DISTINCT): (key, value) pairs first, so a hot
         # key never holds its distinct values in one in-memory set.
-        rows = joined_rows(cat, b, kinds=kinds, fold_case=case_insensitive)
+        rows = joined_rows(cat, b, kinds=kinds)
         o = b.outs[0]
         v = F.col(col_name(o.ref))
         pairs = rows.groupBy(*extra, k, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
         return pairs.groupBy(*extra, key_col(b)).agg(
             F.sum("__c").alias(n_col(b)),
             F.count("__v").alias(flat_name(o.label)))
-    if folded_tables(b):
-        return _build_folded(cat, b, case_insensitive, kinds)
-    rows = joined_rows(cat, b, kinds=kinds, fold_case=case_insensitive)
-    # Only text values are folded case-insensitively.
-    types = dict(rows.dtypes)
-    fold = {o.label: case_insensitive and types.get(col_name(o.ref)) == "string" for o in b.outs}
-    aggs = [F.count(F.lit(1)).alias(n_col(b))]
-    aggs += [_out_agg(o, fold[o.label]) for o in b.outs]
-    agg = rows.groupBy(*extra, k).agg(*aggs)
-    return agg.select(*extra, key_col(b), n_col(b), *[_out_finish(o, fold[o.label]) for o in b.outs])
-
-
-def _build_folded(cat: Catalogue, b: Branch, case_insensitive: bool,
-                  kinds: Kinds | None = None) -> DataFrame:
-    """Branch whose chain contains a folded (0..n per key) table.
-
-    Values of folded tables arrive as sets; per key they are gathered as a
-    set of sets (identical sets collapse on the map side), flattened and
-    de-duplicated at the end.  The row count is the sum of the weights, i.e.
-    what the unfolded join would have produced."""
-    rows = joined_rows(cat, b, fold=True, kinds=kinds, fold_case=case_insensitive)
-    extra = [KIND] if kinds is not None else []
-    folded = folded_tables(b)
-    types = dict(rows.dtypes)
-    k = F.col(col_name(b.key)).alias(key_col(b))
-    aggs = [F.sum("__w").alias(n_col(b))]
-    finish = []
-    for o in b.outs:
+    if [o.label for o in b.outs if o.agg not in LISTS]:
+        raise ValueError(f"branch {b.name!r}: {[o.agg for o in b.outs]} do not go together")
+    folded = bool(folded_tables(b))
+    rows = joined_rows(cat, b, fold=folded, kinds=kinds)
+    if folded or any(_collated(rows, col_name(o.ref)) for o in b.outs):
+        return _build_expanded(rows, b, extra, folded)
+    agg = rows.groupBy(*extra, k).agg(F.count(F.lit(1)).alias(n_col(b)), *[
+        F.collect_set(col_name(o.ref)).alias(flat_name(o.label)) for o in b.outs])
+    return agg.select(*extra, key_col(b), n_col(b), *[
+        finish_distinct(F.col(flat_name(o.label)), o.agg == "distinct_text").alias(flat_name(o.label))
+        for o in b.outs])
+
+
+def _build_lookup(rows: DataFrame, b: Branch, keys: list) -> DataFrame:
+    """N:1 lookup: all values from one row, the smallest of its key (NULLs last), so
+    that a key with several rows never mixes them.  ``n`` says how many there were."""
+    order = [x for o in b.outs for x in (F.col(col_name(o.ref)).isNull(), plain(F.col(col_name(o.ref)))
+                                         if _collated(rows, col_name(o.ref)) else F.col(col_name(o.ref)))]
+    row = F.struct(*[x.alias(f"x{i}") for i, x in enumerate(order)])
+    agg = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(n_col(b)), F.min(row).alias("__row"))
+    outs = []
+    for i, o in enumerate(b.outs):
+        v = F.col("__row").getField(f"x{2 * i + 1}")
+        outs.append((v if o.agg == "any" else F.when(v.isNotNull(), F.array(v))).alias(flat_name(o.label)))
+    return agg.select(*[c for c in agg.columns if c not in (n_col(b), "__row")], n_col(b), *outs)
+
+
+def _build_expanded(rows: DataFrame, b: Branch, extra: list[str], folded: bool) -> DataFrame:
+    """Several lists, or lists of collated text, as one stream of (key, list, value)
+    entries: the aggregate by entry spreads a hot key over its values, and only its
+    distinct values, which the document carries, meet at the key."""
+    each, kinds = _entries_of_folded(rows, b, extra) if folded else _entries(rows, b, extra)
+    spelling = {i for i, kind in enumerate(kinds) if _is_collated(kind)}
+    once = each.groupBy(*extra, key_col(b), *[c for c in each.columns if c == "list" or c.startswith("v")]) \
+        .agg(F.sum("w").alias("w"), *[F.min(plain(F.col(f"v{i}"))).alias(f"s{i}") for i in sorted(spelling)])
+    aggs, outs = [F.sum("w").alias(n_col(b))], []
+    for i, o in enumerate(b.outs):
         name = flat_name(o.label)
-        if table_of(o.ref) in folded:
-            if o.agg not in ("distinct", "distinct_text"):
-                raise ValueError(f"{o.label}: only distinct lists can come from a folded table")
-            aggs.append(F.collect_set(F.col(col_name(o.ref))).alias(name))
-            merged = F.array_distinct(F.flatten(F.col(name)))
-            if o.agg == "distinct_text":
-                finish.append(null_if_empty(F.transform(F.array_sort(merged), lambda x: x.cast("string")))
-                              .alias(name))
-            else:
-                ci = case_insensitive and types.get(col_name(o.ref)) == "array<string>"
-                if ci:
-                    merged = F.transform(merged, lambda x: F.struct(F.lower(x).alias("k"), x.alias("v")))
-                finish.append(finish_distinct(merged, ci).alias(name))
-        else:
-            ci = case_insensitive and types.get(col_name(o.ref)) == "string"
-            aggs.append(_out_agg(o, ci))
-            finish.append(_out_finish(o, ci))
-    agg = rows.groupBy(*extra, k).agg(*aggs)
-    return agg.select(*extra, key_col(b), n_col(b), *finish)
-
-
-def _build_restriction(cat: Catalogue, b: Branch, kinds: Kinds | None = None,
-                       case_insensitive: bool = False) -> DataFrame:
+        # every value once: entries of one list have no value of another
+        value = F.col(f"v{i}")
+        if i in spelling:
+            value = F.when(value.isNotNull(), F.struct(value.alias("k"), F.col(f"s{i}").alias("v")))
+        aggs.append(F.collect_list(value).alias(name))
+        c = F.col(name)
+        outs.append((spelled(c) if i in spelling else finish_distinct(c, o.agg == "distinct_text")).alias(name))
+    return once.groupBy(*extra, key_col(b)).agg(*aggs).select(*extra, key_col(b), n_col(b), *outs)
+
+
+def _entries(rows: DataFrame, b: Branch, extra: list[str]) -> tuple[DataFrame, list]:
+    """One entry per row and list; the first list's entries carry the row count."""
+    kinds = [rows.schema[col_name(o.ref)].dataType for o in b.outs]
+    entries = [F.struct(F.lit(i).alias("list"), F.lit(1 if i == 0 else 0).cast("long").alias("w"), *[
+        (F.col(col_name(o.ref)) if i == j else F.lit(None)).cast(kinds[j]).alias(f"v{j}")
+        for j in range(len(kinds))]) for i, o in enumerate(b.outs)]
+    each = rows.select(*extra, F.col(col_name(b.key)).alias(key_col(b)), F.explode(F.array(*entries)).alias("e"))
+    return each.select(*extra, key_col(b), "e.*"), kinds
+
+
+def _entries_of_folded(rows: DataFrame, b: Branch, extra: list[str]) -> tuple[DataFrame, list]:
+    """A row is one entry (its count and its own list's value) and one more for every
+    value of the set that it carries from the folded table."""
+    inside = [table_of(o.ref) in folded_tables(b) for o in b.outs]
+    if sum(inside) != 1 or len(inside) > 2:
+        raise ValueError(f"branch {b.name!r}: a folded chain has one list from the folded table "
+                         f"and at most one beside it")
+    kinds = [rows.schema[col_name(o.ref)].dataType for o in b.outs]
+    kinds = [k.elementType if inner else k for k, inner in zip(kinds, inside)]
+    values = F.col(col_name(b.outs[inside.index(True)].ref))
+    head = F.array(F.lit(None).cast(kinds[inside.index(True)]))   # stands for the row itself
+    each = rows.select(*extra, F.col(col_name(b.key)).alias(key_col(b)), F.col("__w").alias("w"),
+                       *[F.col(col_name(o.ref)).alias("beside") for o, inner in zip(b.outs, inside) if not inner],
+                       F.explode(F.coalesce(F.concat(head, values), head)).alias("value"))
+    is_row = F.col("value").isNull()
+    return each.select(*extra, key_col(b), F.when(is_row, F.col("w")).otherwise(0).alias("w"), *[
+        (F.col("value") if inner else F.when(is_row, F.col("beside"))).alias(f"v{i}")
+        for i, inner in enumerate(inside)]), kinds
+
+
+def _is_collated(kind) -> bool:
+    return isinstance(kind, StringType) and kind != StringType()
+
+
+def _build_restriction(cat: Catalogue, b: Branch, kinds: Kinds | None = None) -> DataFrame:
     """Restriction rows (1:N), one row per key: dates with their number of rows,
     countries with their first date, the type and the row count.
 
     Level 1 folds identical (key, date, country, type) rows on the map side.
-    Level 2 folds them per (key, date) and per (key, country), which spreads a
-    hot key over its dates and countries; only distinct dates and distinct
-    countries, which the document carries, meet at the key."""
-    rows = joined_rows(cat, b, kinds=kinds, fold_case=case_insensitive)
+    Level 2 is one stream of (key, tag, value) entries, tag 0 a date, 1 a country,
+    2 a type: it spreads a hot key over its values, and only those, which the
+    document carries, meet at the key."""
+    rows = joined_rows(cat, b, kinds=kinds)
     extra = [KIND] if kinds is not None else []
     keys = [*extra, key_col(b)]
-    country = F.col(col_name(b.country_ref))
-    folded = F.lower(country) if case_insensitive else country
+    country, kind = col_name(b.country_ref), col_name(b.type_ref)
     lvl1 = rows.groupBy(*extra, F.col(col_name(b.key)).alias(key_col(b)),
-                        F.col(col_name(b.date_ref)).alias("o"), folded.alias("c"), country.alias("v"),
-                        F.col(col_name(b.type_ref)).alias("t")).agg(F.count(F.lit(1)).alias("n"))
-    by_date = lvl1.groupBy(*keys, "o").agg(F.sum("n").alias("n"), F.min("t").alias("t"))
-    by_country = lvl1.where(F.col("c").isNotNull()).groupBy(*keys, "c").agg(
-        F.min("o").alias("o"), F.min("v").alias("v"))
-    # a missing field makes no entry of the other list
-    dates = by_date.select(*keys, "n", "t", F.when(F.col("o").isNotNull(), F.struct(
-        F.col("o").cast("string").alias("date"), F.col("n").alias("times"))).alias("d"),
-        F.lit(None).cast(_country_type(by_country)).alias("first"))
-    countries = by_country.select(*keys, F.lit(None).cast("long").alias("n"),
-                                  F.lit(None).cast("string").alias("t"),
-                                  F.lit(None).cast("struct<date:string,times:bigint>").alias("d"),
-                                  _first_date(by_country).alias("first"))
-    return dates.unionByName(countries).groupBy(*keys).agg(
-        F.sum("n").alias(n_col(b)), F.min("t").alias(type_col(b)),
-        F.collect_list("d").alias(dates_col(b)), F.collect_list("first").alias(countries_col(b)))
-
-
-def _first_date(df: DataFrame) -> Column:
-    """Sort key of a country: those without any date come last."""
-    return F.struct(F.col("o").isNull().alias("undated"), F.col("o").alias("o"), F.col("v").alias("v"))
-
-
-def _country_type(df: DataFrame):
-    return df.select(_first_date(df).alias("x")).schema["x"].dataType
+                        F.col(col_name(b.date_ref)).alias("o"),
+                        plain(F.col(country)).alias("c"), plain(F.col(kind)).alias("t")).agg(
+        F.count(F.lit(1)).alias("n"))
+    no_text, no_date = F.lit(None).cast("string"), F.lit(None).cast(lvl1.schema["o"].dataType)
+
+    def entry(tag: int, day: Column, text: Column, first: Column, n: Column) -> Column:
+        return F.struct(F.lit(tag).alias("tag"), day.alias("day"), text.alias("text"),
+                        first.alias("first"), n.alias("n"))
+
+    none = F.lit(0).cast("long")
+    # a missing field makes no entry of the other list; entry 0 counts its rows all the same
+    each = lvl1.select(*keys, F.explode(F.array(
+        entry(0, F.col("o"), no_text, no_date, F.col("n")),
+        entry(1, no_date, F.col("c"), F.col("o"), none),
+        entry(2, no_date, F.col("t"), no_date, none))).alias("e")).where(
+        (F.col("e.tag") == 0) | F.col("e.text").isNotNull())
+    text = F.col("e.text")
+    folded = _is_collated(rows.schema[country].dataType)
+    once = each.groupBy(*keys, F.col("e.tag").alias("tag"), F.col("e.day").alias("day"),
+                        (F.collate(text, rows.schema[country].dataType.collation) if folded else text).alias("text")).agg(
+        F.sum("e.n").alias("n"), F.min("e.first").alias("first"),
+        *([F.min(text).alias("spelling")] if folded else []))
+    value = F.col("spelling") if folded else F.col("text")
+    tag = F.col("tag")
+    return once.groupBy(*keys).agg(
+        F.sum("n").alias(n_col(b)),
+        F.min(F.when(tag == 2, value)).alias(type_col(b)),
+        F.collect_list(F.when((tag == 0) & F.col("day").isNotNull(), F.struct(
+            F.col("day").cast("string").alias("date"), F.col("n").alias("times")))).alias(dates_col(b)),
+        # sort key of a country: those without any date come last
+        F.collect_list(F.when(tag == 1, F.struct(F.col("first").isNull().alias("undated"),
+                                                 F.col("first").alias("o"), value.alias("v"))))
+        .alias(countries_col(b)))

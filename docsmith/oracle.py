@@ -52,7 +52,10 @@ def people(cte: str, bridge: str, key: str, ref: str, dim: str, inner: bool = Fa
 
 
 def lookup(cte: str, table: str, where: str = "true", **columns: str) -> str:
-    return relation(cte, f"(SELECT * FROM {table} WHERE {where})", "id", **columns)
+    """All values of one row, the smallest of its id (NULLs last)."""
+    order = ", ".join(f"{c} NULLS LAST" for c in columns.values())
+    return relation(cte, f"(SELECT * FROM {table} WHERE {where})", "id",
+                    **{label: f"first({c} ORDER BY {order})" for label, c in columns.items()})
 
 
 def shared(kind: str, site_text: bool = False) -> list[str]:
@@ -75,8 +78,7 @@ def shared(kind: str, site_text: bool = False) -> list[str]:
                  names=values("name"), sites=flat_values("ids", site_text)),
         people("languages", f"(SELECT * FROM media_language WHERE media_type = '{kind}')", "media_id",
                "language_id", "ma_language"),
-        lookup("licensor", "licensors", f"media_type = '{kind}'", status="min(status)",
-               is_public="min(is_public)"),
+        lookup("licensor", "licensors", f"media_type = '{kind}'", status="status", is_public="is_public"),
         relation("score", "scores", "id", **{
             name: f"max(total_score) FILTER (device_type_id = {d})" for name, d in DEVICES}),
     ]
@@ -102,13 +104,13 @@ def own_relations(doc: str) -> tuple[list[str], dict[str, str], dict[str, str]]:
         rels = [people(f"r_{job}", f"movie_{dim}", "movie_id", f"{job}_id", dim)
                 for job, dim in jobs.items()]
         return (rels + [people("kinds", "movie_genres", "movie_id", "genre_id", "genre_movie"),
-                        lookup("video", "brightcove", "status = 'active'", a="min(brightcove_id)",
-                               b="min(non_drm_brightcove_id)")], {},
+                        lookup("video", "brightcove", "status = 'active'", a="brightcove_id",
+                               b="non_drm_brightcove_id")], {},
                 {f"people.{job}[]": f"r_{job}.names" for job in jobs}
                 | {"genre[]": "kinds.names", "brightcove_id": "video.a",
                    "non_drm_brightcove_id": "video.b"})
     if doc == "game":
-        return ([lookup("maker", "developer", names=values("name")),
+        return ([relation("maker", "developer", "id", names=values("name")),
                  people("kinds", "game_genres", "game_id", "genre_id", "genre"),
                  relation("yummy", "game_yummy", "game_id", cats=values("CategoryName"),
                           systems=values("OS")),
@@ -130,8 +132,8 @@ def own_relations(doc: str) -> tuple[list[str], dict[str, str], dict[str, str]]:
     if doc == "album":
         return ([people("draws", "music_album_artists", "album_id", "artist_id", "music_artist"),
                  people("kinds", "music_album_genres", "album_id", "genre_id", "genre_music"),
-                 lookup("provider", "data_source_provider", name="min(name)"),
-                 lookup("maker", "music_label", name="min(name)"),
+                 lookup("provider", "data_source_provider", name="name"),
+                 lookup("maker", "music_label", name="name"),
                  relation("songs", "music", "album_id", different="count(DISTINCT id)")],
                 {"provider": "data_source_provider_id", "maker": "label_id"},
                 {"people.artist[]": "draws.names", "genre[]": "kinds.names",
@@ -148,7 +150,7 @@ def document(doc: str) -> tuple[str, list[tuple[str, str]]]:
     rels, matched, sources = own_relations(doc)
     parts = shared(kind, site_text=doc in ("game", "software")) + rels
     counted = [r.split(" AS ", 1)[0] for r in rels] + ["filters", "languages", "licensor"]
-    times = " * ".join(f"coalesce({r}.n, 1)" for r in counted)
+    times = " * ".join(f"CAST(coalesce({r}.n, 1) AS HUGEINT)" for r in counted)
     labels = []
     for label in FIELDS[doc]:
         if label == "*":
@@ -164,7 +166,7 @@ def document(doc: str) -> tuple[str, list[tuple[str, str]]]:
         "content_segments[]": "filters.names", "site_exclusion_id[]": "filters.sites",
         "languages[]": "languages.names", "restrict.country_code[]": "countries.codes",
         "restrict.date[]": f"list_transform(dates.pairs, lambda p: {{'date': p.date, "
-                           f"'times': CAST(p.times * {times} AS BIGINT)}})",
+                           f"'times': CAST(p.times AS HUGEINT) * {times}}})",
         **{f"sorting_score.{n}": f"score.{n}" for n, _ in DEVICES},
         **{c: f"m.{c}" for c in columns.split()}, **sources}
     used = ["restricts", "dates", "countries", "filters", "languages", "licensor", "score"]

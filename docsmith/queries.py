@@ -124,7 +124,7 @@ def q_branch_1n_count(spark, sf_dir):
 def q_branch_chain(spark, sf_dir):
     d = _subset(_cat(spark, sf_dir), "movie", ["media_id", "content_segments[]", "site_exclusion_id[]"],
                 ["filters"], keep_rows=True)
-    return _by_id(d, ["content_segments", "site_exclusion_id", F.col(ROWS).alias("n_rows")])
+    return _by_id(d, ["content_segments", "site_exclusion_id", F.col(ROWS).cast("long").alias("n_rows")])
 
 
 def q_branch_two_roles(spark, sf_dir):
@@ -197,7 +197,7 @@ def q_song_legacy_rows(spark, sf_dir):
 
 def q_fanout(spark, sf_dir):
     d = _subset(_cat(spark, sf_dir), "book", ["media_id"], None, keep_rows=True)
-    return _by_id(d, [F.col(ROWS).alias("n_rows")])
+    return _by_id(d, [F.col(ROWS).cast("long").alias("n_rows")])
 
 
 def _shared_doc(doc: str):

@@ -17,11 +17,29 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .adapter import ADAPTER_SQL, base_tables_of, spark_text
 
 
+#: Collation of text compared without regard to case.
+NO_CASE = "UTF8_LCASE"
+
+
+def plain(col: Column) -> Column:
+    """Text as bytes, whatever its collation."""
+    return F.collate(col, "UTF8_BINARY")
+
+
+def collated(df: DataFrame, collation: str) -> DataFrame:
+    """``df`` with every text column collated."""
+    return df.select(*[F.collate(F.col(f"`{f.name}`"), collation).alias(f.name)
+                       if isinstance(f.dataType, StringType) else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])
+
+
 class Catalogue:
     def __init__(self, spark: SparkSession, loaders: dict[str, Callable[[], DataFrame]]):
         self.spark = spark
@@ -46,6 +64,13 @@ class Catalogue:
         loaders[name] = lambda: df
         return Catalogue(self.spark, loaders)
 
+    def collated(self, collation: str) -> "Catalogue":
+        """The same tables with every text column in ``collation``: all comparisons,
+        joins and groups of text follow it.  Such a comparison is not pushed into a
+        scan."""
+        return Catalogue(self.spark, {n: (lambda n=n: collated(self[n], collation))
+                                      for n in self._loaders})
+
     # ---- constructors -------------------------------------------------------
 
     @classmethod

@@ -247,3 +247,111 @@ def test_songs_of_negative_albums_alone_and_shared(spark, make_cat):
     alone = flat(cat, "song")["2--5-10"]
     shared = assemble(cat, spec_for("song"), prebuilt=prebuilt_for(spark, staged, spec_for("song"))).df.first()
     assert alone == shared and alone["restrict_country_code"] == ["US"] and len(dates(alone)) == 1
+
+
+def test_multiplicity_beyond_64_bits(make_cat):
+    # seven relations of 1,000 rows: 10^21 joined rows of one restriction
+    n = 1000
+    names = [(i, f"N{i}") for i in range(n)]
+    bridges = {f"movie_{x}": [(1, i) for i in range(n)]
+               for x in ("actors", "directors", "producers", "writers", "genres")}
+    cat = make_cat(movie=[(1, "m", 1)], **bridges, actors=names, directors=names, producers=names,
+                   writers=names, genre_movie=names,
+                   media_language=[(1, "movie", 1)] * n, ma_language=[(1, "Greek")],
+                   content_filters_medias=[(1, "movie", i) for i in range(n)],
+                   media_geo_restrict=[(1, 3, "active", "click", "US", D1)] * 3)
+    d = documents.build(cat, "movie", keep_rows=True)
+    m = d.df.first()
+    assert dates(m) == [("2024-01-01 00:00:00", 3 * n ** 7)] and m["__joined_rows"] == 3 * n ** 7
+    assert len(m["people_actor"]) == n and m["languages"] == ["Greek"]
+    assert f'"times":{3 * n ** 7}' in shape.as_json(documents.build(cat, "movie")).first()["doc"]
+
+
+def test_multiplicity_beyond_38_digits_is_null(spark):
+    from pyspark.sql import functions as F
+    from docsmith.functions.lists import multiset, product
+    df = spark.createDataFrame([([("b", 2), ("a", 10 ** 10)], 10 ** 18)],
+                               "d array<struct<date:string,times:bigint>>, n long")
+    p = product([F.col("n"), F.col("n")])
+    row = df.select(multiset(F.col("d"), p).alias("x"), product([F.col("n")] * 3).alias("y")).first()
+    assert [tuple(x) for x in row["x"]] == [("a", None), ("b", 2 * 10 ** 36)] and row["y"] is None
+
+
+def test_a_repeated_lookup_key_gives_one_row(spark, make_cat):
+    from pyspark.sql import Observation
+    from docsmith.operators.assemble import observed
+    cat = make_cat(movie=[(1, "m", 7), (2, "n", 8)],
+                   brightcove=[(1, "active", 20, 5), (1, "active", 10, 99), (1, "inactive", 0, 0),
+                               (2, "active", None, 3), (2, "active", 4, None)],
+                   licensors=[("movie", 7, "inactive", 1), ("movie", 7, "active", 0), ("movie", 8, None, 1)])
+    d, seen = documents.build(cat, "movie"), Observation()
+    rows = {r["id"]: r for r in observed(d, seen).df.collect()}
+    assert (rows[1]["brightcove_id"], rows[1]["non_drm_brightcove_id"]) == (10, 99)
+    assert (rows[2]["brightcove_id"], rows[2]["non_drm_brightcove_id"]) == (4, None)
+    assert (rows[1]["licensor_status"], rows[1]["is_public"]) == ("active", 0)
+    assert (rows[2]["licensor_status"], rows[2]["is_public"]) == (None, 1)
+    found = {name: seen.get[f"r{i}"] for i, name in enumerate(d.lookups)}
+    assert found == {"licensor": 1, "video": 2}
+
+
+def _all_options():
+    return [Options(), Options(dates="clean"), Options(song_match="id"), Options(legacy_labels=True),
+            Options(legacy_rows=True), Options(legacy_licensor=True), Options(case_insensitive=True),
+            Options(override=True)]
+
+
+@pytest.mark.parametrize("options", _all_options(), ids=str)
+def test_shared_equals_alone_under_every_option(spark, make_cat, options):
+    from docsmith.job import staging_root
+    from docsmith.operators.assemble import assemble
+    from docsmith.plans.shared import prebuilt_for, stage_shared
+    from docsmith.plans.specs import spec_for
+    cat = make_cat(
+        book=[(1, "t", 1), (2, "u", 1)], music_album=[(1, "alb", 1, 1, 1)], music=[(9, 1, "s")],
+        game=[(1, "g", 1, 1)],
+        media_language=[(1, "BOOK", 1), (1, "book", 2), (1, "Music", 1), (2, "Book", 3), (1, "game", 2)],
+        ma_language=[(1, "English"), (2, "ENGLISH"), (3, "Greek")],
+        content_filters_medias=[(1, "Book", 1), (1, "book", 2), (1, "MUSIC", 2), (1, "gAme", 1)],
+        content_filters=[(1, "F"), (2, "f")],
+        site_content_filter_exclusions=[(1, 1, 5), (2, 1, 6), (2, 2, 7), (1, 4, 8), (1, 4, 10)],
+        media_geo_restrict=[(1, 1, "Active", "a", "US", D2), (1, 1, "active", "A", "us", D1),
+                            (1, 2, "ACTIVE", "b", "ca", D3), (2, 1, "active", None, None, None)])
+    docs = ("book", "album", "song", "game") if options.case_insensitive or options.legacy_rows \
+        or options.song_match == "id" else ("book", "album")
+    specs = [spec_for(d, None, options) for d in docs]
+    staged = stage_shared(spark, cat, specs, staging_root(spark, "shared"), None, options)
+    for spec in specs:
+        alone = assemble(cat, spec, options).df.orderBy("_id").collect()
+        shared = assemble(cat, spec, options, prebuilt=prebuilt_for(spark, staged, spec)).df.orderBy("_id")
+        assert shared.collect() == alone and len(alone) > 0, spec.doc
+    book = {r["id"]: r for r in assemble(cat, specs[0], options).df.collect()}
+    if options.case_insensitive:
+        assert book[1]["languages"] == ["ENGLISH"] and book[2]["languages"] == ["Greek"]
+        assert book[1]["content_segments"] == ["F"] and book[1]["site_exclusion_id"] == [5, 6]
+        assert book[1]["restrict_country_code"] == ["US"] and book[1]["restrict_type"] == "A"
+        assert assemble(cat, specs[0], options).df.schema["title"].dataType.simpleString() == "string"
+    else:
+        assert book[1]["languages"] == ["ENGLISH"] and book[2]["languages"] is None
+        assert book[1]["content_segments"] == ["f"] and book[1]["site_exclusion_id"] == [6]
+
+
+def test_case_insensitive_joins_on_text_and_many_lists(make_cat):
+    cat = make_cat(game=[(7, "g", None, None)], game_yummy=[(7, "Top", "Mac"), (7, "top", "MAC"), (7, None, "Win")],
+                   game_types=[(7, 10), (7, 9), (7, 10)], types=[(9, "Quiz"), (10, "quiz")])
+    g = flat(cat, "game", options=Options(case_insensitive=True), keep_rows=True)["4-7"]
+    assert g["category_name"] == ["Top"] and g["category_os"] == ["MAC", "Win"]
+    assert g["game_type"] == ["9", "10"] and g["game_type_name"] == ["Quiz"]
+    assert g["is_yummy"] == 1 and g["__joined_rows"] == 9
+
+
+def test_chain_of_a_hot_item(spark, make_cat):
+    # every row of the bridge has another filter; the filters share their sites
+    n = 3000
+    cat = make_cat(movie=[(1, "m", 1), (2, "n", 1)],
+                   content_filters=[(i, f"F{i:04d}") for i in range(n)],
+                   content_filters_medias=[(1, "movie", i) for i in range(n)] * 2 + [(2, "movie", 5), (2, "movie", None)],
+                   site_content_filter_exclusions=[(i, 3, s) for i in range(n) for s in (1, 2)] + [(5, 3, None)])
+    m = flat(cat, "movie", keep_rows=True)
+    assert m["3-1"]["site_exclusion_id"] == [1, 2] and len(m["3-1"]["content_segments"]) == n
+    assert m["3-1"]["__joined_rows"] == 2 * (2 * n + 1) and m["3-2"]["__joined_rows"] == 4
+    assert m["3-2"]["content_segments"] == ["F0005"]

@@ -105,3 +105,26 @@ def test_hot_album_is_split(spark, make_cat):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "skew=true" in plan
     assert len(re.findall(r"Exchange hashpartitioning\(album_id", plan)) <= 1
+
+
+def test_no_sets_of_sets(spark):
+    """Lists of a folded chain are gathered by value: a hot item never holds the sets
+    of all its filters."""
+    from docsmith.operators.branch import build_branch
+    from docsmith.plans.specs import spec_for
+    cat = Catalogue.from_adapter(spark, SF001)
+    for doc in ("book", "game"):
+        b = next(x for x in spec_for(doc).branches if x.name == "filters")
+        text = _formatted(build_branch(cat, b))
+        values = build_branch(cat, b)._jdf.queryExecution().optimizedPlan().toString()
+        # the only sets are those of a filter's sites, by filter
+        assert all("site_id" in x for x in re.findall(r"collect_set\(([^,)]*)", values)), values
+        assert "explode(" in text
+
+
+def test_restrictions_read_once(spark):
+    """The fixture's restriction table is a union of two scans of events."""
+    cat = Catalogue.from_adapter(spark, SF001)
+    for doc in ("book", "album", "movie", "game", "software", "song"):
+        text = _formatted(documents.build(cat, doc).df)
+        assert len(re.findall(r"Location: InMemoryFileIndex \[[^\]]*events\.parquet", text)) == 2, doc
