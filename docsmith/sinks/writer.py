@@ -1,10 +1,10 @@
 """Document sinks.
 
 A rebuild never deletes the live target first.  Each run writes a new
-version folder; only after the write and the key check succeed does one more
-``_CURRENT`` marker publish it.  A failed run leaves the previous version
-live, and a retried task overwrites only its own files.  Old versions go only
-when a number to retain is asked for.
+version folder per document type; only when all types are written and checked does
+one manifest publish them (``manifest.py``).  A failed run leaves the previous
+versions live, and a retried task overwrites only its own files.  Old versions go
+only when a number to retain is asked for.
 """
 
 from __future__ import annotations
@@ -13,11 +13,10 @@ import os
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CURRENT = "_CURRENT"
+from .manifest import history, ledger_path, newest
 
 
 def new_version() -> str:
@@ -58,30 +57,10 @@ def _writer(df: DataFrame, fmt: str, mode: str, options: dict | None, writers: i
     return w
 
 
-def _published(spark: SparkSession, target: str) -> DataFrame | None:
-    """The publication markers (place, version) of a target, if it has any."""
-    try:
-        return spark.read.schema("place long, version string").json(os.path.join(target, CURRENT))
-    except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
-def switch_current(spark: SparkSession, target: str, version: str) -> None:
-    """Publish ``version``: one more marker, a tiny file that the commit of its job
-    makes visible at once.  No marker is ever deleted, so until then, and after a
-    failure, the version before is the current one."""
-    markers = _published(spark, target)
-    last = markers.agg(F.max("place")).first()[0] if markers is not None else None
-    (spark.createDataFrame([((last or 0) + 1, version)], "place long, version string").coalesce(1)
-          .write.mode("append").json(os.path.join(target, CURRENT)))
-
-
 def current_version(spark: SparkSession, target: str) -> str | None:
-    markers = _published(spark, target)
-    row = None if markers is None else markers.agg(F.max(F.struct("place", "version"))).first()[0]
-    return row["version"] if row else None
+    """The published version of a target, ``<root>/<type>``."""
+    root, doc = os.path.split(target.rstrip("/"))
+    return newest(spark, root)[1].get(doc)
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
@@ -92,14 +71,11 @@ def remove_folder(spark: SparkSession, path: str) -> None:
 def remove_old_versions(spark: SparkSession, target: str, retain: int) -> list[str]:
     """Delete published versions but for the newest ``retain`` (at least the
     current one); unpublished ones, which may be in the making, stay."""
-    markers = _published(spark, target)
-    if markers is None:
-        return []
-    newest = [r["version"] for r in markers.groupBy("version").agg(F.max("place").alias("place"))
-              .orderBy(F.col("place").desc()).collect()]  # one row per rebuild
-    old = newest[max(1, retain):]
+    root, doc = os.path.split(target.rstrip("/"))
+    old = history(spark, root, doc)[max(1, retain):]
     for version in old:
         remove_folder(spark, version_path(target, version))
+        remove_folder(spark, ledger_path(target, version))
     return old
 
 
