@@ -55,9 +55,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def apply_scale_conf(spark: SparkSession) -> None:
-    """Apply the runtime SQL settings to an existing session (e.g. the driver's)."""
+    """Apply the runtime SQL settings to an existing session (e.g. the driver's);
+    what its owner has set stays."""
+    given = spark.conf.getAll
     for k, v in SCALE_CONF.items():
-        if spark.conf.isModifiable(k):
+        if k not in given and spark.conf.isModifiable(k):
             spark.conf.set(k, v)
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from ..params import REBUILD_ORDER
 from .adapter import ADAPTER_SQL, base_tables_of, spark_text
 
 
@@ -93,35 +94,51 @@ class Catalogue:
         return cls(spark, {n: loader(n) for n in ADAPTER_SQL})
 
     @classmethod
-    def from_parquet(cls, spark: SparkSession, root: str, names=None) -> "Catalogue":
-        names = names or sorted(ADAPTER_SQL)
+    def from_parquet(cls, spark: SparkSession, root: str, names=None, params=None,
+                     options=None) -> "Catalogue":
+        """One folder per table; by default the tables that ``params`` names."""
+        names = names or tables_of(params=params, options=options)
         return cls(spark, {n: (lambda n=n: spark.read.parquet(os.path.join(root, n))) for n in names})
 
     @classmethod
     def from_jdbc(cls, spark: SparkSession, url: str, properties: dict, names=None,
-                  fetchsize: int = 100, partitions: int = 1) -> "Catalogue":
-        """JDBC catalogue.  With ``partitions`` over 1 each table that has an item
-        key is read over so many connections, in ranges of that key; its largest
-        key is probed in the database (one scalar) when the table is first used
-        and only sets the width of the ranges."""
+                  fetchsize: int = 100, partitions: int = 1, params=None, options=None) -> "Catalogue":
+        """JDBC catalogue, by default of the tables that ``params`` names.  With
+        ``partitions`` over 1 each table that has a document key is read over so many
+        connections, in ranges of that key with about equal row counts: a histogram
+        is asked of the database when the table is first used.  A key that alone holds
+        more than a range's share is a range of its own."""
         from .layout import item_keys
-        from .ranges import item_ranges
-        names = names or sorted(ADAPTER_SQL)
+        from .ranges import cut_ranges, equi_depth_cuts
+        names = names or tables_of(params=params, options=options)
         props = {k: str(v) for k, v in properties.items()}
         props.setdefault("fetchsize", str(fetchsize))
-        keys = item_keys() if partitions > 1 else {}
+        keys = item_keys(params=params, options=options) if partitions > 1 else {}
+
+        def ask(sql: str) -> list:
+            return [tuple(r) for r in spark.read.jdbc(url, f"({sql}) asked", properties=props).collect()]
 
         def read(n: str) -> DataFrame:
             if n not in keys:
                 return spark.read.jdbc(url, n, properties=props)
-            probe = f"(SELECT max({keys[n]}) AS m FROM {n}) probe"
-            upper = spark.read.jdbc(url, probe, properties=props).first()["m"]
-            return spark.read.jdbc(url, n, predicates=item_ranges(upper, partitions, keys[n]),
-                                   properties=props)
+            cuts = equi_depth_cuts(ask, n, keys[n], partitions)
+            return spark.read.jdbc(url, n, predicates=cut_ranges(cuts, keys[n]), properties=props)
 
         return cls(spark, {n: (lambda n=n: read(n)) for n in names})
 
 
+def tables_of(docs=REBUILD_ORDER, params=None, options=None) -> list[str]:
+    """The catalogue tables that the documents read, by their configured names."""
+    from ..plans.specs import spec_for
+    found: set[str] = set()
+    for doc in docs:
+        spec = spec_for(doc, params, options)
+        found |= {spec.root, *[j.table for j in spec.root_joins]}
+        for b in spec.branches + ((spec.legacy_dup,) if spec.legacy_dup else ()):
+            found |= {b.table, *[j.table for j in b.joins]}
+    return sorted(found)
+
+
 def from_catalog(spark: SparkSession, database: str, names) -> Catalogue:
     """Catalogue tables registered in the session catalog (e.g. bucketed
     tables written by ``layout.bucket_catalogue``)."""

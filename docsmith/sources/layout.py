@@ -19,26 +19,29 @@ from .catalogue import Catalogue, from_catalog
 
 
 def item_keys(docs=REBUILD_ORDER, params=None, options=None) -> dict[str, str]:
-    """Catalogue table -> the column holding the item key it is joined on."""
+    """Catalogue table -> the column holding the item key it is joined on: every root
+    and every relation of an item, those of songs (by album or by song) included."""
     from ..plans.specs import spec_for
     keys: dict[str, str] = {}
     for doc in docs:
         spec = spec_for(doc, params, options)
-        if not spec.grouped:
-            continue  # songs re-use the album and music layouts
-        keys.setdefault(spec.root, "id")
-        for b in spec.branches:
-            if b.root_ref == "id":
+        # songs are joined to their albums by the album id, so that is their layout
+        own = {root: mine for j in spec.root_joins for mine, root in j.on} if spec.root_joins else {}
+        keys.setdefault(spec.root, own.get("id", "id"))
+        # columns of the joined tables that hold an item id, by their names in the document
+        items = {"id"} | {new for j in spec.root_joins for col, new in j.select if col == "id"}
+        for b in spec.branches + ((spec.legacy_dup,) if spec.legacy_dup else ()):
+            if b.root_ref in items:
                 keys.setdefault(b.table, b.key)
     return keys
 
 
 def bucket_catalogue(spark: SparkSession, cat: Catalogue, database: str, root: str,
-                     buckets: int, docs=REBUILD_ORDER) -> Catalogue:
+                     buckets: int, docs=REBUILD_ORDER, params=None, options=None) -> Catalogue:
     """Write every catalogue table under ``root`` as a table of ``database``,
     item-keyed ones bucketed (and sorted) by their key; return the catalogue
     over the written tables."""
-    keys = item_keys(docs)
+    keys = item_keys(docs, params, options)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{os.path.join(root, '_db')}'")
     for name in cat.names():
         df = cat[name]

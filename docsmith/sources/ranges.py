@@ -79,14 +79,59 @@ def segments_frame(spark: SparkSession, df: DataFrame, size: int, key: str = "id
                         F.coalesce(F.col("n_rows"), F.lit(0)).cast("long").alias("n_rows")))
 
 
-def item_ranges(upper, partitions: int, key: str) -> list[str]:
-    """``partitions`` WHERE predicates that cover a whole table by its item key.
-    ``upper`` only sets their width: the first range takes NULL and all smaller
-    keys, the last is open, so rows that arrive after a probe are read, too."""
-    n = max(1, int(partitions))
-    if n == 1 or not upper or upper < 1:
+# ---- equi-depth ranges, asked of a database ---------------------------------
+
+#: Cells of a histogram per range wanted, and rounds of refining heavy cells.
+CELLS, ROUNDS = 8, 12
+
+
+def histogram_sql(table: str, key: str, width: int, lower: int, upper: int) -> str:
+    """Rows per cell of ``width`` keys from ``lower`` up to ``upper``."""
+    cell = f"FLOOR(({key} - {lower}) / {width})" if width > 1 else f"({key} - {lower})"
+    return (f"SELECT {cell} AS cell, COUNT(*) AS n FROM {table} "
+            f"WHERE {key} >= {lower} AND {key} < {upper} GROUP BY {cell}")
+
+
+def equi_depth_cuts(ask, table: str, key: str, partitions: int) -> list[int]:
+    """Keys that cut a table into about ``partitions`` ranges of equal row counts, by
+    histograms that the database computes.  ``ask(sql)`` returns rows of one
+    statement.  A cell that holds more than a range's share is asked for again in
+    finer cells, until it is a single key, which no range can split.  At most
+    ``CELLS`` cells per range and round reach the driver."""
+    low, high, rows = ask(f"SELECT MIN({key}) AS low, MAX({key}) AS high, COUNT({key}) AS n FROM {table}")[0]
+    if not rows or partitions < 2:
+        return []
+    low, high = int(low), int(high)
+    share = -(-int(rows) // partitions)
+    done: list[tuple[int, int, int]] = []          # (first key, end, rows)
+    todo = [(low, high + 1, int(rows))]
+    for _ in range(ROUNDS):
+        heavy = [c for c in todo if c[2] > share // 2 and c[1] - c[0] > 1]
+        done += [c for c in todo if c not in heavy]
+        todo = []
+        for first, end, n in heavy:
+            # as many cells as the rows deserve
+            cells = max(2, CELLS * -(-n // share))
+            width = max(1, -(-(end - first) // cells))
+            for cell, count in ask(histogram_sql(table, key, width, first, end)):
+                at = first + int(cell) * width
+                todo.append((at, min(at + width, end), int(count)))
+        if not todo:
+            break
+    cuts, held = [], 0
+    for first, _, n in sorted(done + todo):
+        if held and held + n > share:
+            cuts.append(first)
+            held = 0
+        held += n
+    return cuts
+
+
+def cut_ranges(cuts: list[int], key: str) -> list[str]:
+    """WHERE predicates between the cuts that cover a whole table: the first takes
+    NULL and all smaller keys, the last is open, so rows that arrive after the
+    histogram are read, too."""
+    if not cuts:
         return ["1 = 1"]
-    width = -(-(int(upper) + 1) // n)
-    cuts = [k * width for k in range(1, n)]
     middle = [f"{key} >= {a} AND {key} < {b}" for a, b in zip(cuts, cuts[1:])]
     return [f"{key} < {cuts[0]} OR {key} IS NULL", *middle, f"{key} >= {cuts[-1]}"]

@@ -1,39 +1,113 @@
 """Sources: JDBC predicates, adapter text, a skewed key."""
 
+from collections import Counter
+
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
+from docsmith.params import Params
 from docsmith.plans import documents
 from docsmith.sources import ranges
 from docsmith.sources.adapter import ADAPTER_SQL, base_tables_of, oracle_ctes, spark_text
-from docsmith.sources.catalogue import Catalogue
+from docsmith.sources.catalogue import Catalogue, tables_of
+from docsmith.sources.layout import item_keys
+
+
+def database(**tables):
+    """``ask`` of an in-process database that holds one key column per table."""
+    con = duckdb.connect()
+    for name, keys in tables.items():
+        con.execute(f"CREATE TABLE {name} AS SELECT unnest({list(keys)!r}::BIGINT[]) AS k")
+
+    def ask(sql):
+        asked.append(sql)
+        return con.execute(sql).fetchall()
+    asked = []
+    return con, ask, asked
+
+
+def rows_of_ranges(con, table, parts):
+    return [con.execute(f"SELECT count(*) FROM {table} WHERE {p}").fetchone()[0] for p in parts]
 
 
-def test_jdbc_ranges_cover_every_row(spark):
-    for upper, n in ((2500, 4), (2, 8), (None, 4), (-3, 4), (10, 1)):
-        parts = ranges.item_ranges(upper, n, "k")
-        rows = spark.createDataFrame([(k,) for k in (None, -7, 0, 1, 2, 3, 624, 625, 626, 2500, 10 ** 12)],
-                                     "k long")
-        counts = rows.selectExpr(*[f"count_if({p}) AS c{i}" for i, p in enumerate(parts)]).first()
-        assert sum(counts) == rows.count(), (upper, n)  # each row in exactly one range
-    assert len(ranges.item_ranges(2500, 4, "k")) == 4
+@pytest.mark.parametrize("keys", [
+    range(10_000),                                              # even
+    [*range(100), *range(10 ** 12, 10 ** 12 + 9_900)],          # two far clusters
+    [int(1.002 ** i) for i in range(10_000)],                   # ever thinner
+    [7] * 5_000 + list(range(5_000)),                           # one key of half the rows
+    [-5, -4, 3], [9] * 50, [],
+], ids=["even", "clusters", "thin", "hot", "few", "one", "none"])
+def test_equi_depth_ranges(keys):
+    con, ask, asked = database(t=keys)
+    n, hot = len(keys), max(Counter(keys).values(), default=0)
+    cuts = ranges.equi_depth_cuts(ask, "t", "k", 8)
+    parts = ranges.cut_ranges(cuts, "k")
+    con.execute("INSERT INTO t VALUES (NULL), (-1000), (99999999999999)")   # rows after the histogram
+    found = rows_of_ranges(con, "t", parts)
+    assert sum(found) == n + 3                                  # each row in exactly one range
+    if n >= 8:
+        assert max(found) <= max(2 * -(-n // 8), hot + n // 8) + 3
+        assert len(parts) <= 17
+    assert len(asked) < 60
+    assert ranges.equi_depth_cuts(ask, "t", "k", 1) == []
+
+
+def test_histogram_sql_has_bounded_cells():
+    sql = ranges.histogram_sql("t", "k", 10, 5, 105)
+    con, ask, _ = database(t=[4, 5, 14, 15, 104, 105])
+    assert sorted(ask(sql)) == [(0, 2), (1, 1), (9, 1)]
 
 
 def test_jdbc_reads_in_ranges_of_the_item_key():
+    con, ask, _ = database()
     calls = []
 
+    class Rows(list):
+        collect = lambda self: self
+
     class Reader:
         def jdbc(self, url, table, predicates=None, properties=None):
             calls.append((table, predicates, properties))
-            return type("F", (), {"first": lambda self: {"m": 99}})()
+            return Rows(ask(f"SELECT * FROM {table}") if table.startswith("(") else [])
     spark = type("S", (), {"read": Reader()})()
-    cat = Catalogue.from_jdbc(spark, "jdbc:none://nowhere", {"user": "u"}, partitions=2)
+    for name, key in item_keys().items():
+        con.execute(f"CREATE TABLE {name} AS SELECT range % 100 AS {key} FROM range(1000)")
+    cat = Catalogue.from_jdbc(spark, "jdbc:none://nowhere", {"user": "u"}, partitions=4)
     assert not calls  # nothing connects until a table is used
-    cat["book_authors"]
-    assert calls[0][0] == "(SELECT max(book_id) AS m FROM book_authors) probe"
-    assert calls[1][1] == ["book_id < 50 OR book_id IS NULL", "book_id >= 50"]
-    assert calls[1][2] == {"user": "u", "fetchsize": "100"}
+    bridges = [n for n in cat.names() if n in item_keys()]
+    assert {"music_song_artists", "music_genres", "music_files", "book_authors"} <= set(bridges)
+    for name in bridges:
+        calls.clear()
+        cat[name]
+        table, parts, props = calls[-1]
+        assert table == name and len(parts) >= 4, name       # no bridge in one partition
+        assert rows_of_ranges(con, name, parts) and sum(rows_of_ranges(con, name, parts)) == 1000
+        assert props == {"user": "u", "fetchsize": "100"}
+    calls.clear()
     cat["author"]  # no item key: one connection
-    assert calls[2][1] is None
+    assert calls[0][1] is None
+
+
+def test_tables_have_their_configured_names(spark, make_cat, tmp_path):
+    p = Params().with_(score_tables={k: f"score_{k}" for k in Params().score_tables},
+                       geo_restrict_table="geo_v4")
+    names = tables_of(params=p)
+    assert {"score_book", "score_music", "geo_v4"} <= set(names) and "scores" not in names
+    assert set(tables_of(["book"])) < set(tables_of()) and "movie" not in tables_of(["book"])
+    keys = item_keys(params=p)
+    assert keys["geo_v4"] == "media_id" and keys["score_book"] == "id"
+    cat = Catalogue.from_jdbc(None, "jdbc:none://nowhere", {}, params=p)
+    assert "geo_v4" in cat and "score_game" in cat and "media_geo_restrict" not in cat
+    # a document over files of those names
+    own = make_cat(book=[(1, "t", 1)], scores=[(1, 1, 5.0)],
+                   media_geo_restrict=[(1, 1, "active", "click", "US", None)])
+    for name in tables_of(["book"]):
+        own[name].write.parquet(str(tmp_path / {"scores": "score_book", "media_geo_restrict": "geo_v4"}
+                                    .get(name, name)))
+    cat = Catalogue.from_parquet(spark, str(tmp_path), params=p)
+    b = documents.build(cat, "book", params=p).df.first()
+    assert b["sorting_score_pc"] == 5.0 and b["restrict_country_code"] == ["US"]
 
 
 def test_adapter_text():
