@@ -11,6 +11,7 @@ import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docsmith.session import checkpoint_dir
@@ -95,6 +96,25 @@ def content_key(*columns: Column) -> list[Column]:
             F.xxhash64(F.lit("second"), *columns).alias("k2")]
 
 
+def numbered(staged_rows: DataFrame, keys: list[str], block: int = 4096) -> DataFrame:
+    """Staged rows with ``copy``: 1, 2, ... among the rows that are equal in ``keys``.
+    Which of the equal rows has which number depends on the files, the numbers do
+    not.  A group of copies is numbered in blocks of at most ``block`` rows, so no
+    task holds a hot one."""
+    columns = staged_rows.columns
+    rows = staged_rows.withColumn("_uid", F.monotonically_increasing_id()).withColumn(
+        "_block", F.expr(f"_uid div {block}"))
+    at = [*keys, "_block"]
+    inside = W.partitionBy(*at).orderBy("_uid")
+    earlier = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    sizes = rows.groupBy(*at).count().withColumn(
+        "_before", F.coalesce(F.sum("count").over(earlier), F.lit(0)))
+    sizes = sizes.select(*[F.col(c).alias(f"_of{c}") for c in at], "_before")
+    same = [F.col(c).eqNullSafe(F.col(f"_of{c}")) for c in at]
+    return rows.withColumn("_rank", F.row_number().over(inside)).join(sizes, same) \
+        .withColumn("copy", (F.col("_before") + F.col("_rank")).cast("long")).select(*columns, "copy")
+
+
 def words(column: Column) -> Column:
     """Words of the contracts' rule, as an array without empty strings."""
     return F.array_remove(F.split(column, r"[\x20\x09-\x0D]+"), "")

@@ -15,7 +15,8 @@ second permutation orders a shard by random keys: the keys are cut into
 so no task ever holds a shard.
 
 The draw depends only on ``seed``, the contents and the counts, so reruns and
-recomputed tasks agree.  Rows of equal content are interchangeable.  Null
+recomputed tasks agree, however the input is split into files.  Rows of equal
+content are numbered and interchangeable.  Null
 columns are part of the content; an empty table gives an empty result; every
 column of the input is kept, but for those named like the result's.
 """
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docsmith.llm.common import packed, row_key, staged, unpacked
+from docsmith.llm.common import numbered, packed, row_key, staged, unpacked
 
 PARTITIONS = 1024
 #: numpy's sampler takes populations below this; larger ones are drawn here.
@@ -82,8 +83,8 @@ def shard(spark: SparkSession, rows: DataFrame, shards: int = 8, seed: int = 0,
           partitions: int = PARTITIONS) -> DataFrame:
     """``rows`` with ``shard`` (int) and ``slot`` (long, gapless in its shard)."""
     named = packed(rows).select("_in", *row_key(rows.columns))
-    # equal rows are told apart by their place in the staged table
-    named = staged(spark, named.withColumn("copy", F.monotonically_increasing_id()), "shard-rows")
+    # equal rows are told apart by a number among them
+    named = staged(spark, numbered(staged(spark, named, "shard-rows"), ["k1", "k2"]), "shard-numbered")
     dealt = named.withColumn("_p", F.pmod(_random(seed, "deal"), F.lit(partitions)).cast("int"))
     counts = {r["_p"]: r["count"] for r in dealt.groupBy("_p").count().collect()}  # <= partitions
     matrix = communication_matrix([counts.get(p, 0) for p in range(partitions)], shards, seed)

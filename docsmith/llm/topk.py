@@ -20,7 +20,8 @@ queries into blocks of about ``query_block``; every pair of blocks is one group
 of bounded size.  Each block returns its k best per query, and the best of those
 are the result.
 
-Edge cases: null vectors and vectors with null or non-finite components take no
+Edge cases: integer components saturate where ``width`` products of them would pass
+2^62 (2^28 for 64 components); null vectors and vectors with null or non-finite components take no
 part; a shorter vector has zeros at its end; only the query's own row is left
 out, so a repeated row is a candidate; a null id is never a query and comes last
 in ties; fewer than k candidates give fewer rows; other columns are ignored.
@@ -28,6 +29,8 @@ in ties; fewer than k candidates give fewer rows; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -139,7 +142,13 @@ def top_k(spark: SparkSession, vectors: DataFrame, queries: DataFrame | None = N
     # other names, so the two sides of the cogroup share no column
     asked = rows.filter(F.col("id") % every == 0).select(
         F.col("id").alias("query_id"), F.col("v").alias("q"), F.col("uid").alias("query_uid"))
-    n, m = rows.count(), asked.count()
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("width")).first()
+    n, m = size["n"], asked.count()
+    # every score fits a long
+    edge = F.lit(math.isqrt((1 << 62) // max(1, size["width"] or 1)))
+    def bounded(c):  # noqa: E306
+        return F.transform(c, lambda x: F.greatest(-edge, F.least(edge, x)))
+    rows, asked = rows.withColumn("v", bounded("v")), asked.withColumn("q", bounded("q"))
     blocks, query_blocks = max(1, -(-n // block)), max(1, -(-m // query_block))
     dealt = rows.withColumn("b", F.pmod(F.xxhash64("uid"), F.lit(blocks))).withColumn(
         "qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)).cast("array<long>")))

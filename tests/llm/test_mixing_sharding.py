@@ -147,3 +147,22 @@ def test_a_long_document_at_the_cut_hides_no_others(spark, documents):
     last = [x for x in r if x.repeats]
     assert abs(sum(x.size for x in last) - r[0].target) <= 3.5
     assert len({x.positions[0] for x in last}) == len(last)
+
+
+def test_shards_do_not_depend_on_the_files(spark, tmp_path):
+    """A third of the rows are copies; blocks of a few rows number them."""
+    from docsmith.llm.common import numbered
+    df = spark.createDataFrame([(i if i % 3 else 0, "x" if i % 3 == 0 else str(i)) for i in range(600)],
+                               "doc_id long, text string")
+    df.repartition(5).write.parquet(str(tmp_path / "five"))
+    df.coalesce(1).write.parquet(str(tmp_path / "one"))
+    found = []
+    for name, size in (("five", "128m"), ("one", "1k")):
+        old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        read = spark.read.parquet(str(tmp_path / name))
+        found.append(sorted(map(tuple, sharding.shard(spark, read, 8, partitions=16).collect())))
+        copies = numbered(read, ["doc_id", "text"], block=7).filter("doc_id = 0").select("copy").collect()
+        assert sorted(r["copy"] for r in copies) == list(range(1, 201))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert found[0] == found[1]

@@ -12,15 +12,15 @@ from llm_fixtures import documents  # noqa: F401
 
 def ids_by_tokenizers(text):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return t.encode(text, add_special_tokens=False).ids
 
 
 def test_encoder_equals_tokenizers():
-    encode = packing.encoder(*packing.public_vocabulary()).encode_ordinary
+    bpe = packing.encoder(*packing.public_vocabulary())
     for text in ("", " ", "a  b\n\nc", "L'été  déjà 123 4567", "<|endoftext|> x", "日本語 🙂\t",
-                 "x" * 5000, "   y", "it's we'll"):
-        assert encode(text) == ids_by_tokenizers(text)
+                 "x" * 5000, "   y", "it's we'll", "a  <|endoftext|><|endoftext|>  b", "<|endoftext|",
+                 "end <|endoftext|>", "\n\n<|endoftext|>\n"):
+        assert packing.encode_with_special(bpe, text) == ids_by_tokenizers(text)
 
 
 def check(rows, texts, capacity):
@@ -92,3 +92,18 @@ def test_little_padding(spark, documents):
     rows = packing.pack(spark, documents(texts), capacity=1024).collect()
     tokens = sum(r.length for r in rows)
     assert len({r.sequence_id for r in rows}) * 1024 <= tokens * 1.06
+
+
+def test_result_does_not_depend_on_the_files(documents, spark, tmp_path):
+    texts = [f"text {i % 9} " * (i % 40) for i in range(300)] + ["<|endoftext|> copy"] * 60
+    df = documents([(i if i < 330 else 7, t, "s") for i, t in enumerate(texts)])
+    df.repartition(5).write.parquet(str(tmp_path / "five"))
+    df.coalesce(1).write.parquet(str(tmp_path / "one"))
+    found = []
+    for name, size in (("five", "128m"), ("one", "2k")):
+        old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        found.append(sorted(map(tuple, packing.pack(
+            spark, spark.read.parquet(str(tmp_path / name)), capacity=64, group_tokens=2000).collect())))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert found[0] == found[1]

@@ -70,3 +70,11 @@ def test_reading_of_dense_vectors_stops_before_the_end():
     exact[np.arange(len(own)), own] = -(1 << 40)
     for i in range(len(own)):
         assert sorted(scores[qi == i])[-5:] == sorted(exact[i])[-5:]
+
+
+def test_very_large_components_saturate(spark):
+    df = spark.createDataFrame([(0, [1e30, 1.0]), (1, [1e30, 0.0]), (2, [-1e30, 0.0]), (3, [0.0, 1e300])],
+                               "vec_id long, embedding array<double>")
+    edge = math.isqrt((1 << 62) // 2)
+    assert [tuple(r) for r in topk.top_k(spark, df).orderBy("rank").collect()] == [
+        (0, 1, 1, edge * edge), (0, 2, 3, 256 * edge), (0, 3, 2, -edge * edge)]
