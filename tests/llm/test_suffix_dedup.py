@@ -98,3 +98,20 @@ def test_repeated_rows_and_null_ids(spark, documents):
     df = documents([(None, t, "s"), (None, t, "s"), (4, None, "s")])
     rows = S.remove_repeats(spark, df).collect()
     assert sorted((r.n_bytes, r.n_removed, r.n_spans) for r in rows) == [(0, 0, 0), (500, 500, 1), (500, 500, 1)]
+
+
+def test_passages_of_over_fifty_words_above_and_below_400_bytes(spark, documents):
+    """The contract's length decides, not the number of words."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 9)))
+    fresh = lambda n: " ".join(word() for _ in range(n))
+    passages = [fresh(n) for n in range(51, 75)]
+    texts = [f"{fresh(40)} {p} {fresh(40)}" for p in passages for _ in range(3)] + [fresh(150) for _ in range(20)]
+    df = documents(texts)
+    rows = {r.doc_id: r for r in S.remove_repeats(spark, df, 400).collect()}
+    assert [(rows[i].n_bytes, rows[i].n_removed, rows[i].n_spans, rows[i].kept_sha256)
+            for i in range(len(texts))] == brute(texts, 400)
+    # with its neighbouring spaces a passage is two bytes longer
+    caught = [all(rows[3 * i + j].n_removed > 0 for j in range(3)) for i in range(len(passages))]
+    assert caught == [len(p.encode()) + 2 >= 400 for p in passages] and 0 < sum(caught) < len(caught)
+    assert all(rows[i].n_removed == 0 for i in range(3 * len(passages), len(texts)))
