@@ -18,7 +18,7 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
 """
 
 MIX = r"""
-WITH d AS (
+WITH RECURSIVE d AS MATERIALIZED (
   SELECT row_number() OVER () AS uid, doc_id, source,
     CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
     md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS order_key, md5(coalesce(text, '')) AS text_key
@@ -41,17 +41,21 @@ level AS (SELECT arg_min(here, place) AS here FROM levels WHERE here <= bound),
 targets AS (
   SELECT source, source_size,
     least(level.here * weight, CAST(source_size * 3 AS DOUBLE)) AS target FROM weighted, level),
-placed AS (
-  SELECT d.*, t.source_size, t.target,
-    CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS epochs,
-    sum(size) OVER (PARTITION BY d.source ORDER BY order_key, text_key, size
-      ROWS UNBOUNDED PRECEDING) AS upto
+placed AS MATERIALIZED (
+  SELECT d.*, t.source_size, t.target, row_number() OVER (PARTITION BY d.source
+      ORDER BY order_key, text_key, size, uid) AS n,
+    CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS epochs
   FROM d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source),
-chosen AS (
-  SELECT *, size > 0 AND upto <= target - epochs * source_size AS extra FROM placed),
-gaps AS (
-  SELECT source, max(target - epochs * source_size)
-    - sum(CASE WHEN extra THEN size ELSE 0 END) AS gap FROM chosen GROUP BY source),
+-- the last epoch, a document of every source at a time: it is taken if it fits
+walk AS (
+  SELECT source, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS uid, false AS extra,
+    max(target - epochs * source_size) AS gap FROM placed GROUP BY source
+  UNION ALL
+  SELECT w.source, p.n, p.uid, p.size > 0 AND p.size <= w.gap,
+    w.gap - CASE WHEN p.size > 0 AND p.size <= w.gap THEN p.size ELSE 0 END
+  FROM walk w JOIN placed p ON p.source IS NOT DISTINCT FROM w.source AND p.n = w.n + 1),
+chosen AS (SELECT p.*, w.extra FROM placed p JOIN walk w USING (uid)),
+gaps AS (SELECT source, min(gap) AS gap FROM walk GROUP BY source),
 fills AS (
   SELECT uid FROM (
     SELECT c.uid, row_number() OVER (PARTITION BY c.source

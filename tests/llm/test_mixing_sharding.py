@@ -166,3 +166,18 @@ def test_shards_do_not_depend_on_the_files(spark, tmp_path):
         assert sorted(r["copy"] for r in copies) == list(range(1, 201))
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert found[0] == found[1]
+
+
+def test_the_sql_follows_the_operator(spark, documents):
+    """Long documents at every cut, repeated rows, null ids, texts and sources."""
+    import duckdb
+    from docsmith.llm.oracle import MIX
+    rng = random.Random(8)
+    rows = corpus() + [(i, "w " * int(rng.paretovariate(0.8)), rng.choice("abcd")) for i in range(500, 900)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+    want = collections.Counter((d, s, z, round(t, 6), k) for d, s, z, t, k in con.execute(MIX).fetchall())
+    got = mixing.schedule(spark, documents(rows)).collect()
+    assert collections.Counter((r.doc_id, r.size, r.source_size, round(r.target, 6), r.size * r.repeats)
+                               for r in got) == want
