@@ -1,25 +1,34 @@
 """Main text of web pages by site template removal.
 
 Every page is parsed into element subtrees.  A subtree's hash covers its tags and
-its text, not its attributes.  Spark counts, per host, the pages with different
-content on which a subtree stands; a subtree found on many pages of its host is
-the site's template and is deleted from all of them.  Copies of a page count as
-one, so an article that is published many times is no template.  Elements that
-say what they are (navigation, footer, form, script, advert, comment, ...) go on
-pages of small hosts too, where nothing can recur.  What is left of the article
-(else the main element, else the body) is the text.
-
-Text blocks of the article itself (paragraphs, headings, lists, tables, quotes)
-are never templates: a passage that many articles share stays.
+its text, not its attributes.  Spark counts, per host, the different contents
+beside which a subtree stands; a subtree found beside many contents of its host is
+the site's template and is deleted from all their pages, before the article is
+taken.  Elements that say what they are (navigation, footer, form, script, advert,
+comment, ...) go on pages of small hosts too, where nothing can recur.  What is left
+of the article (else the main element, else the body) is the text.
+
+The content beside a subtree are the two largest text blocks outside of it, the
+second only if it has ``BESIDE`` of the first's length; dates, menus and other chrome
+do not count, so an article that is published under many addresses is one content and
+no template.  A subtree that holds the page's largest block needs a block of ``BESIDE``
+of its length outside; without one it is the page's own text and stays.
+
+Running text (paragraphs, headings, lists, tables, quotes) is a template only beside
+``TEXT_SHARE`` of the host's contents: a notice or a list of links on most articles
+goes, a passage that some of them share stays.  The only article of a page is
+never one; of several articles those that recur are.
 
 Scale: a page sends only the hashes of its candidate subtrees to the counts,
-which have partial sums on (host, subtree, page content) and on (host, subtree);
-a host with a third of all pages is spread over its subtrees.  The pages meet
-their templates again by the hash of their content, in a join that AQE can split.
+which have partial sums on (host, subtree, content) and on (host, subtree);
+a host with a third of all pages is spread over its subtrees.  A bounded filter of
+hash buckets then leaves the subtrees that can be templates, and the pages meet
+theirs by the hash of their html, in a join that AQE can split.
 
 Edge cases: null html gives an empty text; pages without a host have no template
 counts; unclosed, misnested and cut markup ends at the latest with its parent or
-the page; repeated rows and null ids are kept; an empty table gives an empty
+the page; very long pages are parsed in one pass; of equally large blocks the first
+counts; repeated rows and null ids are kept; an empty table gives an empty
 result; other columns are ignored.
 """
 
@@ -35,10 +44,14 @@ from pyspark.sql import functions as F
 
 from docsmith.llm.common import content_key, python_workers, staged
 
-#: A subtree is a template on this many pages of different content of its host,
-#: and on this share of them; on a large host on ``min_pages`` times the binary
-#: logarithm of its pages, if that is less.
-MIN_PAGES, MIN_SHARE = 5, 0.01
+#: A subtree is a template beside this many contents of its host, and beside this
+#: share of them; on a large host beside ``min_pages`` times the binary logarithm of
+#: their number, if that is less.  Running text needs ``TEXT_SHARE`` at any size.
+MIN_PAGES, MIN_SHARE, TEXT_SHARE = 5, 0.01, 0.5
+#: Part of a page's largest block that another must have to count as content.
+BESIDE = 0.25
+#: Upper bound of the broadcast filter.
+BUCKETS = 1 << 18
 
 # Element groups of the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -68,7 +81,7 @@ DROP_NAMES = set("ad ads advert adverts advertisement advertising sponsor sponso
                  "banner cookie cookies consent notice disclaimer popup modal newsletter subscribe "
                  "subscription share sharing social related recommended comment comments respond "
                  "disqus widget toolbar pagination pager skip paywall".split())
-#: Blocks of running text: inside the article they are content.
+#: Blocks of running text.
 TEXT_TAGS = HEADINGS | set("p li ul ol dl dt dd blockquote pre table thead tbody tfoot tr td th "
                            "caption figure figcaption hr address details summary".split())
 
@@ -101,7 +114,7 @@ def _tag_end(html: str, at: int) -> int:
         if stop[0] == ">":
             return stop.end()
         at = stop.end()
-        if html[:stop.start()][-80:].rstrip().endswith("="):
+        if html[max(0, stop.start() - 80):stop.start()].rstrip().endswith("="):
             close = html.find(stop[0], at)
             if close >= 0:
                 at = close + 1
@@ -230,6 +243,7 @@ def _postorder(root: Node) -> list[Node]:
 
 
 def hash_subtrees(root: Node) -> None:
+    """The last bit of a hash tells running text."""
     for node in _postorder(root):
         h = xxhash.xxh64(node.tag.encode())
         for x in node.items:
@@ -237,7 +251,7 @@ def hash_subtrees(root: Node) -> None:
                 h.update(b"\0" + x.hash.to_bytes(8, "little"))
             elif not x.isspace():
                 h.update(b"\1" + " ".join(unescape(x).split()).encode("utf-8", "surrogatepass"))
-        node.hash = h.intdigest()
+        node.hash = h.intdigest() & ~1 | (node.tag in TEXT_TAGS)
 
 
 def content_roots(root: Node) -> list[Node]:
@@ -260,35 +274,98 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def candidates(root: Node, roots: list[Node]) -> list[int]:
-    """Hashes of the subtrees that may be a template: outside of the article any
-    block, inside it any container that is no block of running text.  Parts of an
-    element that names itself boilerplate are not counted beside it."""
+def measured(root: Node, roots: list[Node]) -> tuple[list[str], list[tuple[Node, int, int]]]:
+    """The text blocks of the article, in page order, and the subtrees that may be a
+    template, each with the blocks from and up to which it holds.  Parts of an
+    element that names itself boilerplate are neither."""
     inside = {id(x) for x in roots}
-    has_article = roots[0] is not root
-    holds: set[int] = set()  # ancestors of the article
+    holds: set[int] = set()  # the article and its ancestors
     for node in _postorder(root):
         if id(node) in inside or any(id(x) in holds for x in node.elements()):
             holds.add(id(node))
-    found, todo = set(), [(root, not has_article)]
+    texts: list[str] = []
+    line: list[str] = []
+    found = []
+
+    def flush() -> None:
+        text = " ".join(unescape("".join(line)).split())
+        if text:
+            texts.append(text)
+        line.clear()
+
+    # node or text, its first block if it closes, in the article, in running text
+    todo: list[tuple] = [(root, None, False, False)]
     while todo:
-        node, in_article = todo.pop()
-        in_article = in_article or (has_article and id(node) in inside)
-        for child in node.elements():
-            if child.tag in RAW or child.tag == "head":
-                continue
-            if id(child) in holds:
-                todo.append((child, in_article))
-                continue
-            text = has_article and in_article and child.tag in TEXT_TAGS
-            if child.tag in BLOCKS and not text and child.items:
-                found.add(_signed(child.hash))
-            if not says_boilerplate(child, in_article):
-                todo.append((child, in_article))
-    return sorted(found)
+        node, first, inner, running = todo.pop()
+        if isinstance(node, str):
+            if inner:
+                line.append(node)
+            continue
+        if node.tag in BLOCKS or node is root:
+            flush()
+        if first is not None:
+            if first >= 0:
+                found.append((node, first, len(texts)))
+            continue
+        inner = inner or id(node) in inside
+        text = node.tag in TEXT_TAGS
+        one_of_many = id(node) in inside and len(roots) > 1
+        may = node.tag in BLOCKS and node.items and not (text and running) \
+            and (id(node) not in holds or one_of_many)
+        todo.append((node, len(texts) if may else -1, inner, running))
+        if id(node) not in holds and says_boilerplate(node, inner):
+            continue
+        todo.extend((x, None, inner, running or text) for x in reversed(node.items)
+                    if isinstance(x, str) or not (x.tag in RAW or x.tag == "head"))
+    return texts, found
+
+
+def candidates(root: Node, roots: list[Node]) -> tuple[int, list[tuple[int, int]]]:
+    """Hash of the page's content; hash of each subtree that may be a template with
+    the hash of the content beside it."""
+    texts, found = measured(root, roots)
+    if not texts:
+        return 0, []
+    size = [len(x) for x in texts]
+
+    def two(*places: int) -> tuple[int, ...]:
+        return tuple(sorted(places, key=lambda i: (-size[i], i))[:2])
+
+    before: list[tuple[int, ...]] = [()]  # the two largest blocks up to a place
+    for i in range(len(size)):
+        before.append(two(*before[-1], i))
+    after: list[tuple[int, ...]] = [()]  # and from it on
+    for i in reversed(range(len(size))):
+        after.append(two(i, *after[-1]))
+    after.reverse()
+    largest = after[0][0]
+
+    def content(first: int, last: int) -> int | None:
+        outside = two(*before[first], *after[last])
+        if not outside or (first <= largest < last and size[outside[0]] < size[largest] * BESIDE):
+            return None
+        key = xxhash.xxh64()
+        for i in outside:
+            if size[i] >= size[outside[0]] * BESIDE:
+                key.update(texts[i].encode("utf-8", "surrogatepass") + b"\0")
+        return _signed(key.intdigest())
+
+    pairs = {(_signed(node.hash), beside) for node, first, last in found
+             if (beside := content(first, last)) is not None}
+    return content(0, 0), sorted(pairs)
+
+
+def prune(root: Node, templates: set[int]) -> None:
+    """Empty the subtrees that are templates."""
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        if node.tag in BLOCKS and _signed(node.hash) in templates:
+            node.items = []
+        todo.extend(node.elements())
 
 
-def blocks(root: Node, templates: set[int]) -> list[str]:
+def blocks(root: Node) -> list[str]:
     """Text blocks in page order."""
     out: list[str] = []
     line: list[str] = []
@@ -314,15 +391,10 @@ def blocks(root: Node, templates: set[int]) -> list[str]:
                 if block:
                     flush()
                 continue
-            if item is not top:
-                text = has_article and item.tag in TEXT_TAGS
-                if block and not text and _signed(item.hash) in templates:
+            if item is not top and says_boilerplate(item, has_article):
+                if block:
                     flush()
-                    continue
-                if says_boilerplate(item, has_article):
-                    if block:
-                        flush()
-                    continue
+                continue
             if block:
                 flush()
             elif item.tag == "br":
@@ -339,15 +411,15 @@ def host_of(url: Column) -> Column:
 
 
 def subtrees_of(htmls: pd.Series) -> pd.DataFrame:
-    """Per page: hash of its content, hashes of its candidate subtrees."""
+    """Per page: hash of its content, hashes of its candidate subtrees and of the
+    content beside each."""
     rows = []
     for html in htmls:
         root = parse(html)
         hash_subtrees(root)
-        roots = content_roots(root)
-        page = xxhash.xxh64(b"".join(x.hash.to_bytes(8, "little") for x in roots)).intdigest()
-        rows.append((_signed(page), candidates(root, roots)))
-    return pd.DataFrame(rows, columns=["page", "subtrees"])
+        page, pairs = candidates(root, content_roots(root))
+        rows.append((page, [s for s, _ in pairs], [b for _, b in pairs]))
+    return pd.DataFrame(rows, columns=["page", "subtree", "beside"])
 
 
 def text_of(htmls: pd.Series, templates: pd.Series) -> pd.DataFrame:
@@ -355,39 +427,45 @@ def text_of(htmls: pd.Series, templates: pd.Series) -> pd.DataFrame:
     rows = []
     for html, known in zip(htmls, templates):
         root = parse(html)
-        known = set(known)
-        if known:
+        if len(known):
             hash_subtrees(root)
-        found = blocks(root, known)
-        rows.append(("\n".join(found), len(known)))
+            prune(root, set(known))
+        rows.append(("\n".join(blocks(root)), len(known)))
     return pd.DataFrame(rows, columns=["text", "n_templates"])
 
 
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("host", "subtree"), F.lit(BUCKETS)).cast("int")
+
+
 def page_templates(spark: SparkSession, pages: DataFrame, min_pages: int = MIN_PAGES,
-                   min_share: float = MIN_SHARE) -> DataFrame:
+                   min_share: float = MIN_SHARE, text_share: float = TEXT_SHARE) -> DataFrame:
     """(k1, k2, templates): the template subtrees of each page content that has any.
     ``pages`` has k1, k2, host and html."""
-    subtrees = F.pandas_udf(subtrees_of, "page long, subtrees array<long>")
-    parsed = pages.select("k1", "k2", "host", subtrees("html").alias("p")) \
-        .select("k1", "k2", "host", "p.page", "p.subtrees")
-    parsed = staged(spark, parsed, "html-subtrees")
-    hosted = parsed.filter(F.col("host").isNotNull())
+    subtrees = F.pandas_udf(subtrees_of, "page long, subtree array<long>, beside array<long>")
+    parsed = pages.filter(F.col("host").isNotNull()) \
+        .select("k1", "k2", "host", subtrees("html").alias("p")) \
+        .select("k1", "k2", "host", "p.page", "p.subtree", "p.beside")
+    hosted = staged(spark, parsed, "html-subtrees")
     per_host = staged(spark, hosted.select("host", "page").distinct().groupBy("host")
                       .agg(F.count("*").alias("host_pages")), "html-hosts")
-    each = hosted.select("host", "page", "k1", "k2", F.explode("subtrees").alias("subtree"))
-    counts = each.select("host", "subtree", "page").distinct().groupBy("host", "subtree") \
+    each = hosted.select("host", "k1", "k2", F.inline(F.arrays_zip("subtree", "beside")))
+    counts = each.select("host", "subtree", "beside").distinct().groupBy("host", "subtree") \
         .agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages)
+    many = F.least(F.col("host_pages") * min_share, F.log2("host_pages") * min_pages)
+    running = F.col("subtree").bitwiseAND(F.lit(1)) == 1
     templates = staged(spark, counts.join(per_host, "host").filter(
-        F.col("n") >= F.least(F.col("host_pages") * min_share,
-                              F.log2("host_pages") * min_pages)).select("host", "subtree"), "html-templates")
-    on_page = each.select("host", "k1", "k2", "subtree").distinct()
-    on_page = staged(spark, on_page, "html-on-page").join(templates, ["host", "subtree"])
+        F.col("n") >= F.when(running, F.col("host_pages") * text_share).otherwise(many))
+        .select("host", "subtree"), "html-templates")
+    near = each.select("host", "k1", "k2", "subtree").withColumn("b", _bucket()).join(
+        F.broadcast(templates.select(_bucket().alias("b")).distinct()), "b", "left_semi").drop("b")
+    on_page = near.distinct().join(templates, ["host", "subtree"])
     return staged(spark, on_page.groupBy("k1", "k2").agg(F.collect_list("subtree").alias("templates")),
                   "html-marks")
 
 
 def extract(spark: SparkSession, pages: DataFrame, min_pages: int = MIN_PAGES,
-            min_share: float = MIN_SHARE, id_col: str = "page_id", url_col: str = "url",
+            min_share: float = MIN_SHARE, text_share: float = TEXT_SHARE, id_col: str = "page_id", url_col: str = "url",
             html_col: str = "html") -> DataFrame:
     """One row per row of ``pages``: id, url, text, n_templates."""
     python_workers(spark)
@@ -395,7 +473,7 @@ def extract(spark: SparkSession, pages: DataFrame, min_pages: int = MIN_PAGES,
     keyed = pages.select(F.col(id_col), F.col(url_col), html.alias("html"),
                          host_of(F.col(url_col)).alias("host"))
     keyed = keyed.select("*", *content_key(F.col("host"), F.col("html")))
-    marks = page_templates(spark, keyed, min_pages, min_share)
+    marks = page_templates(spark, keyed, min_pages, min_share, text_share)
     joined = keyed.join(marks, ["k1", "k2"], "left")
     none = F.array().cast("array<long>")
     text = F.pandas_udf(text_of, "text string, n_templates long")

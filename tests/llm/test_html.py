@@ -1,3 +1,6 @@
+import math
+import random
+
 import pytest
 
 from docsmith.llm import html_extract as H
@@ -8,10 +11,8 @@ PAGE = ("<!DOCTYPE html><html><head><title>T</title><script>var t='</p>';</scrip
         "</body></html>")
 
 
-def text(html, templates=()):
-    root = H.parse(html)
-    H.hash_subtrees(root)
-    return "\n".join(H.blocks(root, set(templates)))
+def text(html):
+    return "\n".join(H.blocks(H.parse(html)))
 
 
 @pytest.mark.parametrize("html, want", [
@@ -37,17 +38,78 @@ def test_text(html, want):
     assert text(html) == want
 
 
-def brute_templates(pages, least, share):
-    seen, contents = {}, {}
-    for host, html in pages:
-        root = H.parse(html)
-        H.hash_subtrees(root)
-        roots = H.content_roots(root)
-        content = tuple(x.hash for x in roots)
-        contents.setdefault(host, set()).add(content)
-        for c in H.candidates(root, roots):
-            seen.setdefault((host, c), set()).add(content)
-    return {k for k, v in seen.items() if len(v) >= least and len(v) >= share * len(contents[k[0]])}
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+def brute(pages, least=5, share=0.01, text_share=0.5):
+    """Texts of pages given as (host, paragraphs, plain containers before them), all
+    different in a page.  Nothing is parsed."""
+    beside, contents, kept = {}, {}, []
+    for host, article, boxes in pages:
+        parts = [("div", x) for x in boxes] + [("p", x) for x in article]
+        by_size = sorted(parts, key=lambda x: -len(x[1]))  # of equal ones the first
+
+        def content(c):
+            a, b = ([x[1] for x in by_size if x != c] + ["", ""])[:2]
+            if c == by_size[0] and len(a) < len(c[1]) / 4:
+                return None
+            return (a, b if len(b) >= len(a) / 4 else "") if a else None
+
+        contents.setdefault(host, set()).add(content(None))
+        candidates = {c: content(c) for c in parts if content(c)}
+        for c, content in candidates.items():
+            beside.setdefault((host, c), set()).add(content)
+        kept.append(candidates)
+    texts = []
+    for (host, article, boxes), candidates in zip(pages, kept):
+        n = len(contents[host])
+        gone = {c for c in candidates if len(beside[host, c]) >= least and len(beside[host, c])
+                >= (text_share * n if c[0] == "p" else min(share * n, math.log2(n) * least))}
+        texts.append("\n".join([x for x in boxes if ("div", x) not in gone]
+                               + [x for x in article if ("p", x) not in gone]))
+    return texts
+
+
+def test_templates_equal_brute_force(spark):
+    rng = random.Random(6)
+    pages = []
+    for i in range(400):
+        host = rng.choice(["a.org", "b.org", "c.org", "few.org" if i < 12 else "a.org"])
+        words = [f"w{rng.randrange(60)}" for _ in range(rng.randint(1, 12))]
+        article = ([" ".join(words)] + ["Shared passage here."] * (rng.random() < 0.3)
+                   + ["Subscribe to our letter"] * (host == "b.org" or rng.random() < 0.4))
+        boxes = list(dict.fromkeys([f"Posted {i}", rng.choice(["Join our list", "A much longer legal notice " * 2
+                                                               + "of this host"])]))
+        pages.append((host, article, [" ".join(x.split()) for x in boxes]))
+    pages += [(h, a, [f"Posted {j} again"] + b[1:]) for j, (h, a, b) in enumerate(pages[:40])] * 3
+    rows = [(i, f"http://{h}/{i}", "<body>" + "".join(f"<div>{x}</div>" for x in boxes)
+             + "".join(f"<p>{x}</p>" for x in article) + "</body>") for i, (h, article, boxes) in enumerate(pages)]
+    got = {r.page_id: r.text for r in H.extract(spark, frame(spark, rows)).collect()}
+    want = brute(pages)
+    assert [got[i] for i in range(len(pages))] == want
+    plain = ["\n".join(b + a) for _, a, b in pages]
+    assert 50 < sum(x != y for x, y in zip(want, plain)) < len(pages)
+
+
+def test_an_article_under_many_addresses_stays(spark):
+    """Dates and other articles beside it, in its container or outside of it."""
+    article = "<p>" + "A long article about something. " * 12 + "</p><p>Its end.</p>"
+    rows = [(i, f"http://h.net/{i}", f"<body><div>{article}</div><div>Posted {i}</div></body>") for i in range(8)]
+    rows += [(10 + i, f"http://i.net/{i}", f"<article>{article}</article><article><p>See also {i}</p></article>")
+             for i in range(8)]
+    # a teaser beside many articles goes, and stays on the page that is its own
+    rows += [(20 + i, f"http://j.net/{i}", f"<article><p>{'Story %d. ' % i * 20}</p></article>"
+              "<article><p>Teaser</p></article>") for i in range(8)]
+    rows += [(30, "http://j.net/t", "<article><p>Teaser</p></article>")]
+    rows += [(40 + i, f"http://k.net/{i}", f"<article>{article}<p>{'Second part. ' * 9}</p><p>Posted {i}</p></article>")
+             for i in range(8)]
+    got = {r.page_id: r.text for r in H.extract(spark, frame(spark, rows)).collect()}
+    own = ("A long article about something. " * 12).strip() + "\nIts end."
+    assert all(got[i] == f"{own}\nPosted {i}" for i in range(8))
+    assert all(got[10 + i] == f"{own}\nSee also {i}" for i in range(8))
+    assert all(got[20 + i] == ("Story %d. " % i * 20).strip() for i in range(8)) and got[30] == "Teaser"
+    assert all(got[40 + i] == f"{own}\n{('Second part. ' * 9).strip()}\nPosted {i}" for i in range(8))
 
 
 def test_templates_are_deleted_per_host(spark):
@@ -64,18 +126,21 @@ def test_templates_are_deleted_per_host(spark):
     assert got[20].text == "Join our list\nOwn text 20\nThe same passage."
     assert got[40].text.startswith("Only here\nCopy")
     assert (got[60].text, got[61].text, got[None].text) == ("x", "", "y")
-    want = brute_templates([(h.split("/")[2], x) for _, h, x in rows[:-3]], 5, 0.01)
-    for i, url, html in rows[:-3]:
-        known = [c for h, c in want if h == url.split("/")[2]]
-        assert got[i].text == text(html, known)
+    assert got[0].text == "Own text 0"
 
 
-def test_passages_of_articles_are_no_templates(spark):
-    rows = [(i, "http://h.net/", f"<nav>m{i % 2}</nav><article><p>License line.</p><p>t{i}</p>"
-                                 "<div><p>Follow us</p></div></article>") for i in range(30)]
-    df = spark.createDataFrame(rows, "page_id long, url string, html string")
-    for r in H.extract(spark, df).collect():
-        assert r.text == f"License line.\nt{r.page_id}"
+def test_notices_on_most_articles_go_and_shared_passages_stay(spark):
+    rows = [(i, "http://h.net/", f"<nav>m{i % 2}</nav><article>{'<p>License line.</p>' * (i < 12)}<p>The text of {i}.</p>"
+                                 "<p>Get our newsletter</p><ul><li><a>more</a></li><li><a>links</a></li></ul>"
+                                 "<div><p>Follow us</p></div></article>") for i in range(40)]
+    for r in H.extract(spark, frame(spark, rows)).collect():
+        assert r.text == "License line.\n" * (r.page_id < 12) + f"The text of {r.page_id}."
+
+
+def test_a_very_long_page(spark):
+    html = "<article>" + '<p title="x > y" class="c">line</p>' * 60_000 + "</article>"
+    r = H.extract(spark, frame(spark, [(1, "http://h/", html)])).collect()[0]
+    assert r.text == "\n".join(["line"] * 60_000)
 
 
 def test_empty_table_and_clashing_columns(spark):
