@@ -276,8 +276,8 @@ def _signed(x: int) -> int:
 
 def measured(root: Node, roots: list[Node]) -> tuple[list[str], list[tuple[Node, int, int]]]:
     """The text blocks of the article, in page order, and the subtrees that may be a
-    template, each with the blocks from and up to which it holds.  Parts of an
-    element that names itself boilerplate are neither."""
+    template, each with the blocks from and up to which it holds.  What lies outside of
+    the article or names itself boilerplate is no text anyway, and is neither."""
     inside = {id(x) for x in roots}
     holds: set[int] = set()  # the article and its ancestors
     for node in _postorder(root):
@@ -308,13 +308,13 @@ def measured(root: Node, roots: list[Node]) -> tuple[list[str], list[tuple[Node,
                 found.append((node, first, len(texts)))
             continue
         inner = inner or id(node) in inside
+        if id(node) not in holds and (not inner or says_boilerplate(node, inner)):
+            continue
         text = node.tag in TEXT_TAGS
         one_of_many = id(node) in inside and len(roots) > 1
         may = node.tag in BLOCKS and node.items and not (text and running) \
             and (id(node) not in holds or one_of_many)
         todo.append((node, len(texts) if may else -1, inner, running))
-        if id(node) not in holds and says_boilerplate(node, inner):
-            continue
         todo.extend((x, None, inner, running or text) for x in reversed(node.items)
                     if isinstance(x, str) or not (x.tag in RAW or x.tag == "head"))
     return texts, found
