@@ -181,6 +181,29 @@ def schedule(spark: SparkSession, docs: DataFrame, weights=WEIGHTS, slopes=SLOPE
                 "positions", *carry)
 
 
+def copies(plan: DataFrame) -> DataFrame:
+    """The copies that the mix takes, one row each: its ``row`` and training position."""
+    return plan.select("row", F.explode("positions").alias("at"))
+
+
+def in_order(mixed: DataFrame) -> DataFrame:
+    """The mix range-sorted by training position."""
+    return mixed.repartitionByRange("at", "row").sortWithinPartitions("at", "row")
+
+
+def mixed_counts(spark: SparkSession, docs: DataFrame, weights=WEIGHTS, slopes=SLOPES, cap: int = CAP,
+                 id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """One row per row of ``docs``: id, size, source_size, target and ``copies``, how
+    often the written order of the mix has it."""
+    numbered = docs.select(id_col, text_col, source_col).withColumn("row", F.monotonically_increasing_id())
+    plan = staged(spark, schedule(spark, numbered, weights, slopes, cap, id_col, text_col, source_col,
+                                  ("row",)), "mix-plan")
+    order = staged(spark, in_order(copies(plan)), "mix-order")
+    found = order.groupBy("row").agg(F.count("at").alias("copies"))
+    return plan.join(found, "row", "left").select(
+        id_col, "size", "source_size", "target", F.coalesce("copies", F.lit(0).cast("long")).alias("copies"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, weights=WEIGHTS, slopes=SLOPES, cap: int = CAP,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The copies that the mix takes, with the columns of ``docs``, range-sorted by
@@ -190,7 +213,4 @@ def mix(spark: SparkSession, docs: DataFrame, weights=WEIGHTS, slopes=SLOPES, ca
     plan = schedule(spark, numbered.select(
         "row", field(id_col).alias("id"), field(text_col).alias("text"),
         field(source_col).alias("source")), weights, slopes, cap, "id", "text", "source", ("row",))
-    taken = plan.select("row", F.explode("positions").alias("at"))
-    return numbered.join(taken, "row") \
-        .repartitionByRange("at", "row").sortWithinPartitions("at", "row") \
-        .select(*unpacked(docs.columns))
+    return in_order(numbered.join(copies(plan), "row")).select(*unpacked(docs.columns))
