@@ -47,6 +47,8 @@ from docsmith.llm.packing import encoder, public_vocabulary
 
 #: Text that is aligned together.
 BLOCK_BYTES = 4 << 20
+#: Bytes of text whose ids are Python objects at a time (at least a text).
+_ENCODED_BYTES = 256 << 10
 #: Pairs of a block in one row.
 _PAIRS = 4096
 #: Neighbours of the middle that are looked up one by one, before windows.
@@ -180,6 +182,23 @@ def _flat(lists: list) -> np.ndarray:
     return np.fromiter(chain.from_iterable(lists), np.int64, sum(map(len, lists)))
 
 
+def encoded(t: Tokenizers, texts: list[str], some: int = _ENCODED_BYTES
+            ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The number of A and B ids of each text, then all A and all B ids.  Texts are
+    encoded about ``some`` bytes at a time: as lists, the ids of a block would take
+    several times the memory of its arrays."""
+    parts, first, size = [], 0, 0
+    for i, text in enumerate(texts, 1):
+        size += 4 + len(text)
+        if size >= some or i == len(texts):
+            a, b = t.encode(texts[first:i])
+            parts.append((np.fromiter(map(len, a), np.int64), np.fromiter(map(len, b), np.int64),
+                          _flat(a), _flat(b)))
+            first, size = i, 0
+    none = np.empty(0, np.int64)
+    return tuple(np.concatenate([none, *x]) for x in zip(*parts)) if parts else (none,) * 4
+
+
 def distinct(values: np.ndarray) -> np.ndarray:
     values = np.sort(values)
     return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
@@ -193,10 +212,7 @@ def _list_array(values: np.ndarray, ends: np.ndarray, kind: pa.DataType) -> pa.A
 def align_block(t: Tokenizers, block: int, doc_ids: pa.Array, texts: list[str]
                 ) -> Iterator[pa.RecordBatch]:
     """The rows of a block: its documents, then its pairs."""
-    a, b = t.encode(texts)
-    n_a = np.array([len(x) for x in a], np.int64)
-    n_b = np.array([len(x) for x in b], np.int64)
-    ids_a, ids_b = _flat(a), _flat(b)
+    n_a, n_b, ids_a, ids_b = encoded(t, texts)
     ends_a, ends_b = t.a_len[ids_a].cumsum(), t.b_len[ids_b].cumsum()
     has = n_a > 0
     docs_a, docs_b = n_a.cumsum(), n_b.cumsum()
@@ -206,10 +222,11 @@ def align_block(t: Tokenizers, block: int, doc_ids: pa.Array, texts: list[str]
     n_groups = np.diff(np.append(0, upto))
     n_links = np.where(has, n_a + n_b - n_groups, 0)
 
-    codes = written_groups(t, ids_a, ids_b, groups_a, groups_b).tolist()
+    codes = written_groups(t, ids_a, ids_b, groups_a, groups_b)
     tokens = np.append(0, (n_a + n_b).cumsum()).tolist()
-    digests = [hashlib.sha256(b"".join(map(t.written.__getitem__, codes[s:e]))[:-1]).hexdigest()
+    digests = [hashlib.sha256(b"".join(map(t.written.__getitem__, codes[s:e].tolist()))[:-1]).hexdigest()
                if e > s else "" for s, e in zip(tokens, tokens[1:])]
+    del codes
 
     # between two neighbouring ends of either side lie one token of A and one of B
     ends = distinct(np.concatenate([ends_a, ends_b]))

@@ -143,3 +143,25 @@ def test_vocabularies_are_the_same(both):
     t = alignment.tokenizers(ranks, pattern, MODEL)
     chars = byte_of()
     assert all(bytes(chars[c] for c in both[0].id_to_token(i)) == x for i, x in enumerate(t.a_bytes))
+
+
+def test_ids_of_a_block_are_lists_only_in_parts():
+    """A block's texts reach the tokenizers in parts; where they are cut changes nothing."""
+    class Counting:
+        def __init__(self):
+            self.sizes = []
+
+        def encode(self, texts):
+            self.sizes.append(sum(4 + len(x) for x in texts))
+            return [[len(x)] * (len(x) // 2) for x in texts], [list(map(ord, x)) for x in texts]
+
+    texts = ["ab" * n for n in (0, 3, 500, 1, 0, 90, 2000, 7)] * 5
+    whole, parts = Counting(), Counting()
+    want = alignment.encoded(whole, texts, 1 << 30)
+    got = alignment.encoded(parts, texts, 1000)
+    assert all((x == y).all() and len(x) == len(y) for x, y in zip(want, got))
+    assert len(whole.sizes) == 1 and max(parts.sizes) < 1000 + 4004
+    assert [len(x) for x in alignment.encoded(Counting(), [], 10)] == [0, 0, 0, 0]
+    many = Counting()
+    alignment.encoded(many, ["x" * 2000] * 1000)
+    assert max(many.sizes) <= alignment.BLOCK_BYTES / 8
