@@ -2,9 +2,10 @@
 
 import pytest
 
-from docsmith.operators.branch import build_branch, united_lists
+from docsmith.operators.branch import build_branch, key_sets, united_lists
 from docsmith.plans import documents
 from docsmith.plans.specs import spec_for
+from docsmith.sources.catalogue import NO_CASE
 
 
 def _catalogue(make_cat):
@@ -43,3 +44,15 @@ def test_values_of_a_folded_table_are_not_kept_by_item(spark, make_cat):
     lists = [(r["__set_filters"], r["site_exclusion_id"]) for r in united_lists(cat, b).collect()]
     assert sorted(lists) == [([7, 8], [2, 10, 30]), ([9], None)]
     assert "collect_set" not in build_branch(cat, b)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_key_sets_are_shuffled_once_by_item(spark, make_cat):
+    """The sets alone are those that the items carry, without the steps that count rows."""
+    cat = _catalogue(make_cat)
+    b = next(x for x in spec_for("movie").branches if x.name == "filters")
+    for c in (cat, cat.collated(NO_CASE)):
+        items = {tuple(r["__set_filters"]) for r in build_branch(c, b).collect() if r["__set_filters"]}
+        sets = key_sets(c, b)
+        assert sorted(tuple(r["__set_filters"]) for r in sets.collect()) == sorted(items) == [(7, 8), (9,)]
+    plan = key_sets(cat, b)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and plan.count("Aggregate") == 2
