@@ -46,3 +46,19 @@ def test_documents_meet_lists_as_text(spark, make_cat):
         assert d.rendered == ("site_exclusion_id[]",)
         assert d.df.schema["site_exclusion_id"].dataType.simpleString() == "string"
         assert d.df.schema["content_segments"].dataType.simpleString() == "array<string>"
+
+
+def test_conformance_counts_one_type_at_a_time(spark, make_cat, monkeypatch):
+    """The report counts documents with a value; it carries no list of sites to them, and the
+    types do not share one plan, with the broadcasts and shuffles of all."""
+    from docsmith.plans.schema import conformance_report
+    asked = []
+    build = documents.build
+    monkeypatch.setattr(documents, "build", lambda cat, doc, **kw: asked.append(kw["render"]) or build(cat, doc, **kw))
+    rep = conformance_report(spark, _catalogue(make_cat), DOCS)
+    found = {(r["doc"], r["field"]): r["n_docs_with_value"] for r in rep.collect()}
+    assert all(found[doc, f] == n for doc in DOCS
+               for f, n in (("site_exclusion_id", 2), ("content_segments", 3), ("_id", 5), ("languages", 0)))
+    lists = spark.createDataFrame([([1, 2, 3],), (None,)], "x array<int>")
+    assert [r[0] for r in lists.select(asked[0]("x")).collect()] == [[1], None]
+    assert len(asked) == 2 and "Union" not in rep._jdf.queryExecution().optimizedPlan().toString()
